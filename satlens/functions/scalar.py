@@ -40,8 +40,9 @@ def parse_timestamp_strict(c) -> Column:
 
 
 def parse_timestamp(c, fmt: str = "yyyyMMdd HH:mm:ss") -> Column:
-    """Coercing parse with an explicit format: malformed text -> NULL."""
-    return F.try_to_timestamp(col_(c), F.lit(fmt))
+    """Coercing parse with an explicit format: malformed text -> NULL.
+    Local wall-clock time (timestamp without time zone)."""
+    return F.try_to_timestamp(col_(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def parse_ok(c, fmt: str = "yyyyMMdd HH:mm:ss") -> Column:
@@ -51,8 +52,7 @@ def parse_ok(c, fmt: str = "yyyyMMdd HH:mm:ss") -> Column:
 
 def delay_minutes(real, scheduled) -> Column:
     """(real - scheduled) in minutes, NULL when either side is NULL."""
-    return (F.unix_timestamp(col_(real).cast("timestamp")) -
-            F.unix_timestamp(col_(scheduled).cast("timestamp"))) / 60.0
+    return F.timestamp_diff("SECOND", col_(scheduled), col_(real)) / F.lit(60.0)
 
 
 def duration_seconds(c) -> Column:
