@@ -54,6 +54,7 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON
 
 LOAD_FACTOR = """load_factor AS (
 SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS flight_date_local, l.l_suppkey AS op_flight_num,
+  CASE l.l_suppkey % 3 WHEN 0 THEN 'LH' WHEN 1 THEN 'SH' ELSE 'MH' END AS haul,
   sum(CASE WHEN l.l_returnflag = 'A' THEN l.l_quantity ELSE 0.0 END) AS pax_business,
   CAST(sum(CASE WHEN l.l_returnflag = 'A' THEN 50 ELSE 0 END) AS BIGINT) AS capacity_business,
   sum(CASE WHEN l.l_returnflag = 'N' THEN l.l_quantity ELSE 0.0 END) AS pax_premium_ec,
@@ -62,7 +63,7 @@ SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS flight_date_local, l.
   CAST(sum(CASE WHEN l.l_returnflag = 'R' THEN 50 ELSE 0 END) AS BIGINT) AS capacity_economy
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 WHERE l.l_suppkey % 10 <> 0
-GROUP BY 1, 2
+GROUP BY 1, 2, 3
 )"""
 
 _years = (f"date_flight_local >= DATE '{C.YEAR_FLOOR}-01-01' AND year(date_flight_local) NOT IN "

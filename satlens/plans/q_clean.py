@@ -139,7 +139,7 @@ def q_rename_drift(x: Inputs):
     lf = clean.rename_drift(x.load_factor, {"flight_month": ["flight_date_local"],
                                             C.FLIGHT: ["op_flight_num"],
                                             C.CARRIER: ["operating_carrier", "op_carrier_group_ib"]})
-    return rounded(lf)
+    return rounded(lf.drop(C.HAUL))
 
 
 @register("drop_cols", MODEL + """

@@ -97,8 +97,10 @@ def load_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
         hit = F.col("l_returnflag") == flag
         aggs.append(F.sum(F.when(hit, F.col("l_quantity")).otherwise(0.0)).alias(f"pax_{cabin}"))
         aggs.append(F.sum(F.when(hit, F.lit(50)).otherwise(F.lit(0))).alias(f"capacity_{cabin}"))
+    sk = F.col("l_suppkey")
+    haul = F.when(sk % 3 == 0, "LH").when(sk % 3 == 1, "SH").otherwise("MH")
     return (j.groupBy(F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("flight_date_local"),
-                      F.col("l_suppkey").alias("op_flight_num"))
+                      sk.alias("op_flight_num"), haul.alias("haul"))
             .agg(*aggs))
 
 
