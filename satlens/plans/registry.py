@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None, note: str = ""):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = Query(name, fn, sql, note)
+        QUERIES[name] = Query(name, fn, nudge_rounding(sql) if sql else None, note)
         return fn
     return deco
 
@@ -63,8 +63,47 @@ class Inputs:
 
 
 def r6(c) -> Column:
-    """Round doubles to 6 places (results are compared order-insensitively)."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round doubles to 6 places for comparison with the SQL oracle.
+
+    A mean of decimal-like values often lies exactly on a 7th-decimal tie, and
+    two engines summing in different orders land one ulp either side of it; a
+    1e-9 nudge puts both on the same side.  ``+ 0.0`` turns -0.0 into 0.0.
+    The oracle side applies the identical expression (``nudge_rounding``)."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.round(x + F.lit(1e-9), 6) + F.lit(0.0)
+
+
+def nudge_rounding(sql: str) -> str:
+    """Rewrite every ``round(<expr>, 6)`` of an oracle SQL text into
+    ``(round((<expr>) + 1e-9, 6) + 0.0)`` - the same convention as ``r6``."""
+    out, i, key = [], 0, "round("
+    low = sql.lower()
+    while True:
+        j = low.find(key, i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k, comma = 1, j + len(key), -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner_end = k - 1
+        if comma >= 0 and sql[comma + 1:inner_end].strip() == "6":
+            expr = nudge_rounding(sql[j + len(key):comma])
+            out.append(sql[i:j] + f"(round(({expr}) + 1e-9, 6) + 0.0)")
+        else:
+            out.append(sql[i:j] + "round(" + nudge_rounding(sql[j + len(key):inner_end]) + ")")
+        i = k
 
 
 def rounded(df: DataFrame, exclude=()) -> DataFrame:

@@ -26,6 +26,7 @@ DEFAULT_CONF = {
     # (WindowGroupLimit); keep it on for the sample sizes used here.
     "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
