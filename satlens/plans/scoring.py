@@ -43,3 +43,32 @@ def linear_scored(model_input: DataFrame, features=C.FEATURES) -> DataFrame:
 
 
 __all__ = ["linear_contribution_table", "linear_scored", "scale_contributions"]
+
+
+# ---------------------------------------------------------------------------
+# Model-based scoring (MLlib GBT pair)
+# ---------------------------------------------------------------------------
+def predict_and_explain(df: DataFrame, trees_prom, trees_det, features=C.FEATURES,
+                        step: int = C.ENSEMBLE_STEP, lineage: dict | None = None) -> DataFrame:
+    """Score every row with both classifiers and explain it.
+
+    Tree SHAP per label (log-odds, one Arrow pass each, columns pass through),
+    probability-scale rescale, virtual-ensemble mean / std per label, then the
+    promoter - detractor merge and lineage columns.  Narrow plan: no shuffle.
+    """
+    from satlens.functions.scalar import inv_logit
+    from satlens.operators.treeshap import tree_shap
+    from satlens.operators.trees import virtual_ensemble
+
+    t = tree_shap(df, trees_prom, features, "_prom")
+    t = tree_shap(t, trees_det, features, "_det")
+    t = t.withColumns({"out_prob_prom": inv_logit(F.col("out_value_prom")),
+                       "out_prob_det": inv_logit(F.col("out_value_det"))})
+    t = to_probability(t, features, "_prom")
+    t = to_probability(t, features, "_det")
+    t = virtual_ensemble(t, trees_prom, features, step, "_prom")
+    t = virtual_ensemble(t, trees_det, features, step, "_det")
+    t = nps_merge(t, features)
+    for k, v in (lineage or {}).items():
+        t = t.withColumn(k, F.lit(v))
+    return t
