@@ -62,8 +62,8 @@ def train_pair(df: DataFrame, features: Sequence[str] = C.FEATURES, labels: Sequ
 def probability(df: DataFrame, model, out: str) -> DataFrame:
     """Positive-class probability of a fitted classifier (MLlib transform)."""
     t = model.transform(df)
-    return t.withColumn(out, vector_to_array(F.col(model.getProbabilityCol()))[1]) \
-        .drop(model.getProbabilityCol(), model.getRawPredictionCol(), model.getPredictionCol())
+    return t.withColumn(out, vector_to_array(F.col("probability"))[1]).drop(
+        "probability", "rawPrediction", "prediction")
 
 
 def cv_scores(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold", k: int = 5,

@@ -46,8 +46,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], group: S
                  F.max(f"__f{i}").alias(f"__f{i}")]
         name = f"{prefix}_{_pct(p)}"
         out_cols.append((F.col(f"__a{i}") + F.col(f"__f{i}") * (F.col(f"__b{i}") - F.col(f"__a{i}"))).alias(name))
-    keep = ranked.filter(F.greatest(*[F.col(f"__a{i}").isNotNull() | F.col(f"__b{i}").isNotNull()
-                                      for i in range(len(probs))]))
+    hits = [F.col(f"__a{i}").isNotNull() | F.col(f"__b{i}").isNotNull() for i in range(len(probs))]
+    keep = ranked.filter(F.greatest(*hits) if len(hits) > 1 else hits[0])
     res = keep.groupBy(*group).agg(*aggs)
     return res.select(*group, *out_cols)
 

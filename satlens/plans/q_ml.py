@@ -197,9 +197,10 @@ def q_impute_median(x: Inputs):
 
 
 @register("one_hot", MODEL + """
-, ci AS (SELECT cabin_in_surveyed_flight, row_number() OVER (ORDER BY count(*) DESC, cabin_in_surveyed_flight) - 1 AS idx
-         FROM model_input GROUP BY ALL),
-hi AS (SELECT haul, row_number() OVER (ORDER BY count(*) DESC, haul) - 1 AS idx FROM model_input GROUP BY ALL)
+, ci AS (SELECT cabin_in_surveyed_flight, row_number() OVER (ORDER BY n DESC, cabin_in_surveyed_flight) - 1 AS idx
+         FROM (SELECT cabin_in_surveyed_flight, count(*) AS n FROM model_input GROUP BY ALL)),
+hi AS (SELECT haul, row_number() OVER (ORDER BY n DESC, haul) - 1 AS idx
+         FROM (SELECT haul, count(*) AS n FROM model_input GROUP BY ALL))
 SELECT m.respondent_id, CAST(ci.idx AS DOUBLE) AS cabin_in_surveyed_flight_idx, CAST(hi.idx AS DOUBLE) AS haul_idx,
   CAST(ci.idx = 0 AS INTEGER) AS cabin_slot0, CAST(hi.idx = 0 AS INTEGER) AS haul_slot0
 FROM model_input m JOIN ci USING (cabin_in_surveyed_flight) JOIN hi USING (haul)""")
