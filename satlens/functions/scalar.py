@@ -84,7 +84,7 @@ def month_end(c) -> Column:
     return F.last_day(col_(c).cast("date"))
 
 
-def late_flag(delay=F.col("delay"), minutes: float = C.LATE_MINUTES) -> Column:
+def late_flag(delay="delay", minutes: float = C.LATE_MINUTES) -> Column:
     """1 when delay > threshold; NULL / NaN -> 0."""
     return F.coalesce(nan_to_null(delay) > F.lit(minutes), F.lit(False)).cast("int")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_core", "q_clean", "q_scalar", "q_stats", "q_explain", "q_model", "q_ml"]
+MODULES = ["q_core", "q_clean", "q_scalar", "q_stats", "q_explain", "q_model", "q_ml", "q_sources"]
 
 
 def load() -> None:

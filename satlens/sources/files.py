@@ -37,10 +37,12 @@ def scan_tolerant(spark: SparkSession, path, schema: T.StructType, header: bool
               .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", "true"))
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     df = reader.schema(full).csv(path)
-    # Cache-free split: Spark requires the corrupt column to be used with
-    # other columns, which both projections do.
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    # Spark refuses raw-file plans whose only referenced column is the
+    # corrupt-record column (e.g. a bare count of either side).  A predicate
+    # that is always true but reads every data column keeps them in the scan.
+    parsed = F.length(F.concat_ws("|", *[F.col(f.name).cast("string") for f in schema.fields])) >= 0
+    good = df.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
+    bad = df.filter(F.col(CORRUPT).isNotNull() & parsed).select(schema.fields[0].name, CORRUPT)
     return good, bad
 
 
@@ -83,7 +85,7 @@ def partition_asof(df: DataFrame, column: str, as_of, n: int = 1) -> DataFrame:
 def parse_partition_date(text: Column) -> Column:
     """'k=YYYY-MM-DD', 'YYYY-MM-DD' or 'YYYYMMDD' -> date (NULL otherwise)."""
     v = F.regexp_extract(text, r"(?:^|=)(\d{4}-?\d{2}-?\d{2})$", 1)
-    return F.coalesce(F.try_to_date(v, F.lit("yyyy-MM-dd")), F.try_to_date(v, F.lit("yyyyMMdd")))
+    return F.coalesce(F.try_to_date(v, "yyyy-MM-dd"), F.try_to_date(v, "yyyyMMdd"))
 
 
 def partition_parts(text: Column) -> list[Column]:
