@@ -34,11 +34,29 @@ def register(name: str, sql: str | None = None, note: str = ""):
 
 
 class Inputs:
-    """Lazily derived inputs for one (session, table folder)."""
+    """Lazily derived inputs for one (session, table folder).
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    The two step outputs every downstream plan reads - the model input (ETL
+    sink) and the scored table - are materialised once as Parquet tables in
+    the shared checkpoint folder, like the production pipeline persists them.
+    This cuts their lineage: self joins and scalar subqueries downstream scan
+    a table instead of re-running joins and deduplication.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
+
+    def _persisted(self, df: DataFrame, name: str) -> DataFrame:
+        if not self.materialize:
+            return df
+        import uuid
+
+        from satlens.session import scratch_path
+        path = scratch_path(self.spark, f"tables/{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
         return td.table(self.spark, self.sf_dir, name)
@@ -54,12 +72,12 @@ class Inputs:
     @cached_property
     def model_input(self) -> DataFrame:
         from satlens.plans.etl import model_input
-        return model_input(self.survey, self.load_factor)
+        return self._persisted(model_input(self.survey, self.load_factor), "model_input")
 
     @cached_property
     def scored(self) -> DataFrame:
         from satlens.plans.scoring import linear_scored
-        return linear_scored(self.model_input)
+        return self._persisted(linear_scored(self.model_input), "scored")
 
 
 def r6(c) -> Column:
