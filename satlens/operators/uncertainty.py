@@ -29,6 +29,28 @@ def hash_order(key: str, seed, salt: Column | None = None) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
+def hash_top_n(df: DataFrame, group: Sequence[str], key: str, seed, n: int, salt: Column | None = None,
+               hex_digits: int = 5, rank_col: str = "rn") -> DataFrame:
+    """The n rows with the smallest seeded hash per group, ranked 1..n (exact).
+
+    Rows are counted per (group, hash-prefix bucket); running counts over the
+    buckets (a small table) show which buckets can hold ranks <= n, and only
+    rows of those buckets reach the final ranking window.  The work therefore
+    does not depend on the optimizer's partial top-k threshold, and no group
+    is ever sorted whole in one task.
+    """
+    group = list(group)
+    h = hash_order(key, seed, salt)
+    t = df.withColumns({"__h": h, "__b": F.conv(F.substring(h, 1, hex_digits), 16, 10).cast("long")})
+    counts = t.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    keep = (counts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
+            .filter(F.col("__off") < n).select(*group, "__b"))
+    cand = t.join(keep, [*group, "__b"], "left_semi")
+    rw = Window.partitionBy(*group).orderBy("__h", key)
+    return cand.withColumn(rank_col, F.row_number().over(rw)).filter(F.col(rank_col) <= n).drop("__b")
+
+
 def confidence_tier(scored: DataFrame, column: str = UNC, quantiles=C.TIER_QUANTILES,
                     labels=C.TIER_LABELS) -> DataFrame:
     """High below the first quantile of uncertainty, Medium below the second,
@@ -85,9 +107,7 @@ def sample_uncertainty(scored: DataFrame, n_samples: int = 10, sample_size: int
     SEM = std(prediction, ddof 1) / sqrt(n) and total (sum, or quadratic)."""
     s = F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1)))
     t = scored.select(key, pred, unc, s.alias("sample"))
-    t = t.withColumn("__h", hash_order(key, seed, F.col("sample")))
-    w = Window.partitionBy("sample").orderBy("__h", key)
-    t = t.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= sample_size)
+    t = hash_top_n(t, ["sample"], key, seed, sample_size, salt=F.col("sample"))
     sem = F.stddev_samp(pred) / F.sqrt(F.lit(float(sample_size)))
     out = t.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.avg(pred).alias("mean_prediction"),
                                   F.avg(unc).alias("model_uncertainty"), sem.alias("sem"))
@@ -108,10 +128,8 @@ def uncertainty_curve(scored: DataFrame, sizes: Sequence[int] = tuple(range(100,
     m = max(sizes)
     it = F.explode(F.sequence(F.lit(0), F.lit(n_iterations - 1)))
     t = scored.select(key, pred, unc, score, it.alias("iteration"))
-    t = t.withColumn("__h", hash_order(key, seed, F.col("iteration")))
-    w = Window.partitionBy("iteration").orderBy("__h", key)
-    t = t.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= m)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    t = hash_top_n(t, ["iteration"], key, seed, m, salt=F.col("iteration"))
+    run = Window.partitionBy("iteration").orderBy("__h", key).rowsBetween(Window.unboundedPreceding, 0)
     sc = F.col(score)
     t = t.withColumns({
         "__s1": F.sum(pred).over(run), "__s2": F.sum(F.col(pred) * F.col(pred)).over(run),

@@ -18,7 +18,7 @@ from satlens import config as C
 from satlens.functions.scalar import month_start
 from satlens.operators import nps
 from satlens.operators.reshape import tag_union
-from satlens.plans.oracle_base import BASE, MODEL, SCORED
+from satlens.plans.oracle_base import BASE, MODEL, SCORED, SURVEY, SURVEY_CLEAN, with_ctes
 from satlens.plans.registry import Inputs, r6, register, rounded
 from satlens.session import scratch_path
 from satlens.sources import files as FS
@@ -188,3 +188,32 @@ def q_tag_union(x: Inputs):
     m = x.model_input
     u = tag_union({"before": m.filter(F.year(C.DATE) == 1997), "after": m.filter(F.year(C.DATE) == 2000)})
     return rounded(u.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.avg(C.SCORE).alias("mean_score")))
+
+
+_STREAM_COLS = [C.ID, C.DATE, C.CARRIER, "invitegroup_ib", "invitegroup", C.CABIN, C.HAUL, "delay",
+                "nps_category", C.SCORE]
+
+
+@register("stream_increments", with_ctes(SURVEY, SURVEY_CLEAN) + """
+SELECT flight_month, cabin_in_surveyed_flight, haul, count(nps_100) AS n_answers,
+  count_if(nps_100 > 8) AS promoters, count_if(nps_100 <= 6) AS detractors, sum(otp15_takeoff) AS n_late
+FROM survey_clean GROUP BY ALL""")
+def q_stream_increments(x: Inputs):
+    """Monthly snapshot files streamed (availableNow) through the cleaning step
+    into a partitioned sink; the NPS counts are then read from the sink."""
+    from satlens.plans.etl import FLIGHT_MONTH, clean_survey
+    from satlens.streaming.incremental import run_increments
+    src, sink = _fresh(x, "stream-src"), _fresh(x, "stream-sink")
+    snap = x.survey.select(*_STREAM_COLS, month_start(C.DATE).alias(C.SNAPSHOT))
+    FS.write_partitioned(snap, src, [C.SNAPSHOT])
+    schema = x.spark.read.parquet(src).schema
+
+    def transform(df):
+        return clean_survey(df).select(C.ID, C.CABIN, C.HAUL, C.SCORE, C.OTP, FLIGHT_MONTH, C.SNAPSHOT)
+
+    run_increments(x.spark, src, schema, sink, transform, [C.SNAPSHOT], f"increments_{uuid.uuid4().hex[:8]}",
+                   max_files_per_trigger=20)
+    out = x.spark.read.parquet(sink)
+    return out.groupBy(FLIGHT_MONTH, C.CABIN, C.HAUL).agg(
+        F.count(C.SCORE).alias("n_answers"), F.count_if(F.col(C.SCORE) > 8).alias("promoters"),
+        F.count_if(F.col(C.SCORE) <= 6).alias("detractors"), F.sum(C.OTP).cast("bigint").alias("n_late"))
