@@ -20,7 +20,7 @@ from satlens.session import get_session  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
-    mem = os.environ.get("BENCH_MEM", "6g")
+    mem = os.environ.get("BENCH_MEM", "4g")
     spark = get_session(f"local[{cpus}]", app="satlens-bench", shuffle_partitions=max(8, 2 * cpus),
                         extra={"spark.driver.memory": mem})
 

@@ -39,10 +39,29 @@ def parse_timestamp_strict(c) -> Column:
     return F.to_timestamp(col_(c))
 
 
+_FIELDS = {"yyyy": r"(\d{4})", "MM": r"(\d{2})", "dd": r"(\d{2})", "HH": r"(\d{2})", "mm": r"(\d{2})",
+           "ss": r"(\d{2})"}
+
+
 def parse_timestamp(c, fmt: str = "yyyyMMdd HH:mm:ss") -> Column:
-    """Coercing parse with an explicit format: malformed text -> NULL.
-    Local wall-clock time (timestamp without time zone)."""
-    return F.try_to_timestamp(col_(c), F.lit(fmt)).cast("timestamp_ntz")
+    """Coercing parse with an explicit format (fields yyyy MM dd HH mm ss):
+    malformed text or impossible values -> NULL.
+
+    The result is local wall-clock time (timestamp without time zone), built
+    from the fields directly, so no session time zone or DST gap shifts it."""
+    import re
+    tokens = re.findall(r"yyyy|MM|dd|HH|mm|ss|.", fmt)
+    pattern = "^" + "".join(_FIELDS.get(t, re.escape(t)) for t in tokens) + "$"
+    fields = [t for t in tokens if t in _FIELDS]
+    x = col_(c)
+    part = {t: F.regexp_extract(x, pattern, i + 1) for i, t in enumerate(fields)}
+
+    def get(t, default):
+        return part[t].try_cast("int") if t in part else F.lit(default)
+
+    secs = part["ss"].try_cast("decimal(16,6)") if "ss" in part else F.lit(0).cast("decimal(16,6)")
+    ts = F.try_make_timestamp_ntz(get("yyyy", 1970), get("MM", 1), get("dd", 1), get("HH", 0), get("mm", 0), secs)
+    return F.when(x.rlike(pattern), ts)
 
 
 def parse_ok(c, fmt: str = "yyyyMMdd HH:mm:ss") -> Column:
@@ -51,8 +70,14 @@ def parse_ok(c, fmt: str = "yyyyMMdd HH:mm:ss") -> Column:
 
 
 def delay_minutes(real, scheduled) -> Column:
-    """(real - scheduled) in minutes, NULL when either side is NULL."""
-    return F.timestamp_diff("SECOND", col_(scheduled), col_(real)) / F.lit(60.0)
+    """(real - scheduled) in minutes of local wall-clock time, NULL when either
+    side is NULL.  Computed from date and time-of-day fields, so neither the
+    session time zone nor a DST change alters the difference."""
+    def secs(t):
+        t = col_(t)
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    days = F.datediff(col_(real).cast("date"), col_(scheduled).cast("date"))
+    return (days.cast("long") * 86400 + secs(real) - secs(scheduled)) / F.lit(60.0)
 
 
 def duration_seconds(c) -> Column:

@@ -285,8 +285,9 @@ _W2 = "l_shipdate >= TIMESTAMP '1996-07-01' AND l_shipdate < TIMESTAMP '1997-07-
 
 def _windows(x: Inputs):
     li = x.table("lineitem")
-    a = li.filter((F.col("l_shipdate") >= F.lit(dt.datetime(1996, 1, 1))) & (F.col("l_shipdate") < F.lit(dt.datetime(1997, 1, 1))))
-    b = li.filter((F.col("l_shipdate") >= F.lit(dt.datetime(1996, 7, 1))) & (F.col("l_shipdate") < F.lit(dt.datetime(1997, 7, 1))))
+    ts = lambda s: F.lit(s).cast("timestamp_ntz")  # noqa: E731  (wall-clock, session-TZ independent)
+    a = li.filter((F.col("l_shipdate") >= ts("1996-01-01 00:00:00")) & (F.col("l_shipdate") < ts("1997-01-01 00:00:00")))
+    b = li.filter((F.col("l_shipdate") >= ts("1996-07-01 00:00:00")) & (F.col("l_shipdate") < ts("1997-07-01 00:00:00")))
     return a, b
 
 

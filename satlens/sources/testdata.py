@@ -36,6 +36,16 @@ def _case_list(col: Column, values: list[str]) -> Column:
     return expr
 
 
+def _clock_text(day: Column, minutes: Column) -> Column:
+    """'yyyyMMdd HH:mm:00' for a date plus a minute offset, from integer
+    fields only (no session time zone is involved)."""
+    shift = F.floor(minutes / 1440).cast("int")
+    mod = (minutes - shift * 1440).cast("int")
+    d = F.date_add(day, shift)
+    return F.format_string("%04d%02d%02d %02d:%02d:00", F.year(d), F.month(d), F.dayofmonth(d),
+                           (mod / 60).cast("int"), mod % 60)
+
+
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per survey answer (FIXTURES B1); lineitem ⋈ orders ⋈ customer."""
     li = table(spark, sf_dir, "lineitem")
@@ -44,9 +54,9 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(cu, od.o_custkey == cu.c_custkey)
     pk, sk, ln, ok = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("l_orderkey")
     score = F.least(F.lit(10), F.floor(F.col("l_quantity") / 8) + F.floor(F.col("l_discount") * 40)).cast("int")
-    hours = F.make_interval(hours=(pk % 24).cast("int"))
-    mins = F.make_interval(mins=(pk % 91 - 30).cast("int"))
-    sched = F.col("o_orderdate") + hours
+    day = F.col("o_orderdate").cast("date")
+    sched_min = (pk % 24) * 60
+    real_min = sched_min + (pk % 91 - 30)
     cols = {
         "respondent_id": ok * 10 + ln,
         "date_flight_local": F.col("o_orderdate").cast("date"),
@@ -70,9 +80,8 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
         "monthly_weight": F.when(ok % 13 == 0, F.lit(None).cast("double"))
         .otherwise(F.lit(0.5) + (ok % 4) * F.lit(0.5)),
         "res100_country_code_survey": _case_list(F.col("c_nationkey"), NATION_COUNTRY),
-        "scheduled_departure_time_local": F.date_format(sched, "yyyyMMdd HH:mm:ss"),
-        "real_departure_time_local": F.when(pk % 29 == 0, F.lit("bad"))
-        .otherwise(F.date_format(sched + mins, "yyyyMMdd HH:mm:ss")),
+        "scheduled_departure_time_local": _clock_text(day, sched_min),
+        "real_departure_time_local": F.when(pk % 29 == 0, F.lit("bad")).otherwise(_clock_text(day, real_min)),
         "time_spent_hrminsec": F.format_string("%02d:%02d:%02d", (pk % 3).cast("int"),
                                                (sk % 60).cast("int"), ((ln * 7) % 60).cast("int")),
         "cla_600_wifi_t_f": F.when(pk % 4 == 0, "Yes").when(pk % 4 == 1, "Could not get it to work")
