@@ -1,10 +1,10 @@
 """Classification metrics and the champion gate (§2.5 A22-A24, §2.10 M11).
 
 Confusion counts, log-loss and class shares are one aggregate.  AUC is the
-Mann-Whitney statistic with average ranks for ties: scores are first reduced
-to (group, score) -> (positives, negatives) with a partial aggregate; the
-negatives below each score come from per-bucket offsets (a small table) plus a
-window inside the score's bucket, so no group is sorted in one task.
+Mann-Whitney statistic with average ranks for ties: scores are reduced to
+(group, score) -> (positives, negatives) with a partial aggregate, and the
+negatives below each score come from ``stats.value_prefix_sums`` (bucketed
+prefix sums with bounded windows), so no group is sorted in one task.
 """
 
 from __future__ import annotations
@@ -19,23 +19,14 @@ from satlens import config as C
 METRICS = ["auc", "recall", "precision", "f1", "accuracy"]
 
 
-def auc(df: DataFrame, label: str, score: str, group: Sequence[str] = (), buckets: int = 4096) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """ROC AUC per group (NULL when a group has only one class)."""
+    from satlens.operators.stats import value_prefix_sums
     group = list(group)
-    y, s = F.col(label), F.col(score).cast("double")
-    per = df.filter(s.isNotNull() & y.isNotNull()).groupBy(*group, s.alias("__s")).agg(
-        F.count_if(y == 1).alias("__p"), F.count_if(y != 1).alias("__q"))
-    lo_hi = df.agg(F.min(s).alias("lo"), F.max(s).alias("hi"))
-    lo, hi = lo_hi.select("lo").scalar(), lo_hi.select("hi").scalar()
-    width = F.greatest(hi - lo, F.lit(1e-300)) / F.lit(float(buckets))
-    per = per.withColumn("__b", F.least(F.lit(buckets - 1), F.floor((F.col("__s") - lo) / width).cast("int")))
-    bsum = per.groupBy(*group, "__b").agg(F.sum("__q").alias("__bq"))
-    wb = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    bsum = bsum.withColumn("__off", F.coalesce(F.sum("__bq").over(wb), F.lit(0))).drop("__bq")
-    per = per.join(bsum, [*group, "__b"], "inner")
-    wi = Window.partitionBy(*group, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("__off") + F.coalesce(F.sum("__q").over(wi), F.lit(0))
-    per = per.withColumn("__u", F.col("__p") * (below + F.col("__q") * F.lit(0.5)))
+    y = F.col(label)
+    per = value_prefix_sums(df.filter(y.isNotNull()), F.col(score),
+                            {"__p": F.count_if(y == 1), "__q": F.count_if(y != 1)}, group)
+    per = per.withColumn("__u", F.col("__p") * (F.col("__q_below") + F.col("__q") * F.lit(0.5)))
     out = per.groupBy(*group).agg(F.sum("__u").alias("__u"), F.sum("__p").alias("__P"), F.sum("__q").alias("__N"))
     return out.select(*group, F.try_divide(F.col("__u"), (F.col("__P") * F.col("__N")).cast("double")).alias("auc"))
 

@@ -15,20 +15,73 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+_MANT = 1 << 20
+
+
+def order_keys(v: Column) -> tuple[Column, Column, Column]:
+    """Three integer keys whose lexicographic order is the order of the double
+    ``v``: (sign and binary exponent, next 20 mantissa bits, next 20 bits).
+    Dividing by an exact power of two keeps every step exact."""
+    a = F.abs(v)
+    e0 = F.floor(F.log2(a)).cast("int")
+    e = (F.when(F.pow(F.lit(2.0), e0) > a, e0 - 1)
+         .when(F.pow(F.lit(2.0), e0 + 1) <= a, e0 + 1).otherwise(e0))
+    m = (a / F.pow(F.lit(2.0), e) - 1) * _MANT          # [0, 2^20)
+    f1 = F.floor(m)
+    f2 = F.floor((m - f1) * _MANT)
+    pos, neg = v > 0, v < 0
+    k1 = F.when(pos, 3_000_000 + e).when(neg, 1_000_000 - e).otherwise(2_000_000).cast("long")
+    k2 = F.when(pos, f1).when(neg, _MANT - 1 - f1).otherwise(0).cast("long")
+    k3 = F.when(pos, f2).when(neg, _MANT - 1 - f2).otherwise(0).cast("long")
+    return k1, k2, k3
+
+
+def value_prefix_sums(df: DataFrame, value: Column, sums: dict[str, Column], group: Sequence[str] = ()) -> DataFrame:
+    """Per distinct (group, value): each sum at that value (``<name>``) and over
+    all strictly smaller values (``<name>_below``) - a prefix sum in value
+    order without sorting a whole group in one task.
+
+    Distinct values are bucketed by ``order_keys``; each level's offsets come
+    from a window over one parent bucket (at most ~4200 exponents, then 2^20
+    sub-buckets twice), and the last window orders the values inside one
+    finest bucket (at most 4096 distinct doubles).  NULL and NaN are skipped.
+    """
+    group = list(group)
+    v = value.cast("double")
+    per = (df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*group, v.alias("__v"))
+           .agg(*[e.alias(n) for n, e in sums.items()]))
+    k1, k2, k3 = order_keys(F.col("__v"))
+    per = per.withColumns({"__k1": k1, "__k2": k2, "__k3": k3})
+    names = list(sums)
+    levels = [["__k1"], ["__k1", "__k2"], ["__k1", "__k2", "__k3"]]
+    out = per
+    for i, keys in enumerate(levels):
+        parent, last = group + keys[:-1], keys[-1]
+        t = per.groupBy(*group, *keys).agg(*[F.sum(n).alias(n) for n in names])
+        w = Window.partitionBy(*parent).orderBy(last).rowsBetween(Window.unboundedPreceding, -1)
+        cols = [F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"__o{i}_{n}") for n in names]
+        if i == 0:  # group totals ride along with the first level (small table)
+            cols += [F.sum(n).over(Window.partitionBy(*group)).alias(f"{n}_total") for n in names]
+        out = out.join(t.select(*group, *keys, *cols), group + keys, "inner")
+    wf = Window.partitionBy(*group, "__k1", "__k2", "__k3").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    below = {f"{n}_below": (F.col(f"__o0_{n}") + F.col(f"__o1_{n}") + F.col(f"__o2_{n}")
+                            + F.coalesce(F.sum(n).over(wf), F.lit(0))) for n in names}
+    return out.withColumns(below).select(*group, F.col("__v").alias("value"), *names, *below,
+                                         *[f"{n}_total" for n in names])
+
+
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], group: Sequence[str] = (),
                     prefix: str = "q") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / quantile_cont
     convention): position h = (n - 1) p between the order statistics.
 
-    One output row per group with ``<prefix>_<p*100>`` columns.
+    One output row per group with ``<prefix>_<p*100>`` columns.  Ranks come
+    from ``value_prefix_sums`` (bounded windows), not from sorting a group.
     """
     group = list(group)
-    x = F.col(column)
-    counts = df.filter(x.isNotNull()).groupBy(*group, x.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*group).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    wn = Window.partitionBy(*group)
-    ranked = counts.withColumns({"__hi": F.sum("__c").over(w)}).withColumns(
-        {"__lo": F.col("__hi") - F.col("__c"), "__n": F.sum("__c").over(wn)})
+    pre = value_prefix_sums(df, F.col(column), {"__c": F.count(F.lit(1))}, group)
+    ranked = pre.select(*group, F.col("value").alias("__v"), "__c", F.col("__c_total").alias("__n"),
+                           F.col("__c_below").alias("__lo"), (F.col("__c_below") + F.col("__c")).alias("__hi"))
     # Each requested probability needs the values at ranks floor(h) and ceil(h).
     probs = [float(p) for p in probs]
     out_cols = []
