@@ -93,11 +93,13 @@ def dropna_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def outlier_bounds(df: DataFrame, column: str, lo_q: float = 0.05, hi_q: float = 0.95,
                    k: float = 1.5) -> DataFrame:
-    """One-row table of exact quantile fences q_lo - k*IQR, q_hi + k*IQR."""
-    q = F.percentile(F.col(column), F.array(F.lit(lo_q), F.lit(hi_q)))
-    return (df.agg(q.alias("q")).select(
-        F.col("q")[0].alias("q_lo"), F.col("q")[1].alias("q_hi"))
-        .select("q_lo", "q_hi",
+    """One-row table of exact quantile fences q_lo - k*IQR, q_hi + k*IQR
+    (bounded-memory exact quantiles, see ``stats.exact_quantiles``)."""
+    from satlens.operators.stats import exact_quantiles
+    q = exact_quantiles(df, column, [lo_q, hi_q], prefix="__q")
+    a, b = q.columns
+    return (q.select(F.col(a).alias("q_lo"), F.col(b).alias("q_hi"))
+            .select("q_lo", "q_hi",
                 (F.col("q_lo") - F.lit(k) * (F.col("q_hi") - F.col("q_lo"))).alias("lower"),
                 (F.col("q_hi") + F.lit(k) * (F.col("q_hi") - F.col("q_lo"))).alias("upper")))
 
