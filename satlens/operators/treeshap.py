@@ -88,9 +88,12 @@ def shap_batch(X: np.ndarray, leaves: list, base: float) -> np.ndarray:
         xs = X[:, feats]
         o = ((xs > lo) & (xs <= hi)).astype(float)           # (n, m)
         g = z + t[:, None, None] * (o[None, :, :] - z)       # (Q, n, m)
-        for i in range(m):
-            p = np.prod(np.delete(g, i, axis=2), axis=2) if m > 1 else np.ones(g.shape[:2])
-            phi[:, feats[i]] += v * (o[:, i] - z[i]) * (a @ p)
+        # product over j != i as prefix * suffix products (no O(m^2) loop)
+        ones = np.ones(g.shape[:2] + (1,))
+        pre = np.concatenate([ones, np.cumprod(g, axis=2)[:, :, :-1]], axis=2)
+        suf = np.concatenate([np.cumprod(g[:, :, ::-1], axis=2)[:, :, -2::-1], ones], axis=2) if m > 1 else ones
+        integral = np.tensordot(a, pre * suf, axes=(0, 0))   # (n, m)
+        phi[:, feats] += v * (o - z) * integral
     return phi
 
 
@@ -107,10 +110,15 @@ def tree_shap(df: DataFrame, trees: Sequence[Tree], features: Sequence[str], suf
     """``df`` plus per-row contributions ``<f><suffix>``, ``base_value<suffix>``
     and ``out_value<suffix>`` (log-odds) of a GBT classifier.  All input
     columns pass through, so no join is needed to reattach them."""
+    return tree_shap_many(df, {suffix: trees}, features)
+
+
+def tree_shap_many(df: DataFrame, models: dict, features: Sequence[str]) -> DataFrame:
+    """Tree SHAP of several models (suffix -> trees) in ONE Arrow pass."""
     _ship_by_value()
-    leaves, base = compile_model(trees)
+    compiled = {s: compile_model(t) for s, t in models.items()}
     feats = list(features)
-    new =[f"{f}{suffix}" for f in feats] + [f"base_value{suffix}", f"out_value{suffix}"]
+    new = [c for s in models for c in [f"{f}{s}" for f in feats] + [f"base_value{s}", f"out_value{s}"]]
     schema = T.StructType([f for f in df.schema.fields if f.name not in new] +
                           [T.StructField(c, T.DoubleType()) for c in new])
     keep = [f.name for f in df.schema.fields if f.name not in new]
@@ -118,12 +126,13 @@ def tree_shap(df: DataFrame, trees: Sequence[Tree], features: Sequence[str], suf
     def run(batches):
         for pdf in batches:
             X = pdf[feats].astype(float).fillna(MISSING).to_numpy()
-            phi = shap_batch(X, leaves, base)
             out = pdf[keep].copy()
-            for j, f in enumerate(feats):
-                out[f"{f}{suffix}"] = phi[:, j]
-            out[f"base_value{suffix}"] = base
-            out[f"out_value{suffix}"] = phi.sum(axis=1) + base
+            for suffix, (leaves, base) in compiled.items():
+                phi = shap_batch(X, leaves, base)
+                for j, f in enumerate(feats):
+                    out[f"{f}{suffix}"] = phi[:, j]
+                out[f"base_value{suffix}"] = base
+                out[f"out_value{suffix}"] = phi.sum(axis=1) + base
             yield out
 
     return df.mapInPandas(run, schema)

@@ -52,16 +52,15 @@ def predict_and_explain(df: DataFrame, trees_prom, trees_det, features=C.FEATURE
                         step: int = C.ENSEMBLE_STEP, lineage: dict | None = None) -> DataFrame:
     """Score every row with both classifiers and explain it.
 
-    Tree SHAP per label (log-odds, one Arrow pass each, columns pass through),
+    Tree SHAP of both labels in one Arrow pass (log-odds, columns pass through),
     probability-scale rescale, virtual-ensemble mean / std per label, then the
     promoter - detractor merge and lineage columns.  Narrow plan: no shuffle.
     """
     from satlens.functions.scalar import inv_logit
-    from satlens.operators.treeshap import tree_shap
+    from satlens.operators.treeshap import tree_shap_many
     from satlens.operators.trees import virtual_ensemble
 
-    t = tree_shap(df, trees_prom, features, "_prom")
-    t = tree_shap(t, trees_det, features, "_det")
+    t = tree_shap_many(df, {"_prom": trees_prom, "_det": trees_det}, features)
     t = t.withColumns({"out_prob_prom": inv_logit(F.col("out_value_prom")),
                        "out_prob_det": inv_logit(F.col("out_value_det"))})
     t = to_probability(t, features, "_prom")
