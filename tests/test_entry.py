@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 # Fast, representative oracle checks (the full set runs via tools/check_oracle.py).
 SAMPLE = ["nps_by_segment", "dedup_first", "filter_years", "parse_dates", "region_map", "satisfaction",
           "corr_topk", "quantiles", "join_audit", "melt_load_factor", "explain_period", "explain_yoy",
-          "flip_negate", "mae_auto", "uncertainty_curve", "split_stratified", "binary_metrics", "partition_parts"]
+          "flip_negate", "mae_auto", "uncertainty_curve", "split_stratified", "binary_metrics", "partition_parts",
+          "scan_tolerant", "stream_increments", "sink_roundtrip", "partition_asof", "explanation_store"]
 
 
 def test_entry_runs(spark):
