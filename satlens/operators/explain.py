@@ -55,7 +55,12 @@ def explain(scored: DataFrame, period: Column, segment: Sequence[str] = C.SEGMEN
                        (F.col("prediction_frac") * 100).alias("prediction_pct"), "n_rows")
 
 
-def explain_monthly(scored: DataFrame, **kw) -> DataFrame:
+def explain_monthly(scored: DataFrame, closed: str = "both", **kw) -> DataFrame:
+    """Monthly explanation.  ``closed='both'`` uses whole months; ``'left'``
+    mirrors the notebook's [first day, last day) windows, which leave out the
+    last day of every month."""
+    if closed == "left":
+        scored = scored.filter(F.col(C.DATE) < F.last_day(F.col(C.DATE)))
     return explain(scored, month_start(C.DATE), **kw)
 
 
@@ -63,6 +68,21 @@ def explain_daily(scored: DataFrame, **kw) -> DataFrame:
     return explain(scored, F.col(C.DATE), **kw)
 
 
+def calendar_fill(expl: DataFrame, start, end, segment: Sequence[str] = C.SEGMENT,
+                  features: Sequence[str] = C.FEATURES) -> DataFrame:
+    """Daily explanation with a row for every day of [start, end] and every
+    segment present, like a day-by-day loop: days without answers get NULL
+    values.  The calendar is generated per segment (days x segments x
+    features rows, bounded by the parameters), then left-joined."""
+    days = F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY")))
+    feats = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(i).alias("position"))
+                      for i, f in enumerate(features)])
+    cal = (expl.select(*segment).distinct().select(*segment, days.alias(PERIOD))
+           .select(PERIOD, *segment, F.inline(feats)))
+    keys = [PERIOD, *segment, "feature", "position"]
+    return cal.join(expl, keys, "left")
+
+
 def group_keys(expl: DataFrame, segment: Sequence[str] = C.SEGMENT) -> list[str]:
     keys = [PERIOD] + ([BASE_PERIOD] if BASE_PERIOD in expl.columns else [])
     return keys + list(segment)
