@@ -27,9 +27,11 @@ def seeded_hash(key: str, seed) -> Column:
 
 
 def stratified_rank(df: DataFrame, strata: Sequence[str], key: str = C.ID, seed=0,
-                    bucket_hex_digits: int = 3) -> DataFrame:
+                    bucket_hex_digits: int = 5) -> DataFrame:
     """Adds ``__rank`` (1-based order of the seeded hash within the stratum) and
-    ``__n`` (stratum size)."""
+    ``__n`` (stratum size).  With 16^5 buckets a window holds about
+    rows / 10^6 rows of one stratum; the offset table has at most
+    strata x 10^6 rows."""
     strata = list(strata)
     h = seeded_hash(key, seed)
     t = df.withColumns({HASH: h, "__b": F.conv(F.substring(h, 1, bucket_hex_digits), 16, 10).cast("int")})
