@@ -42,7 +42,7 @@ def q_train_pair(x: Inputs):
     mi = x.model_input
     rows = []
     for lab, trees in pair.items():
-        s = TR.score(mi, trees, C.FEATURES, "__p")
+        s = x.persist(TR.score(mi.select(*C.FEATURES, *C.LABELS), trees, C.FEATURES, "__p"), f"train-scores-{lab}")
         b = M.binary_metrics(s, lab, "__p")
         rows.append(b.select(F.lit(lab).alias("label"), F.lit(len(trees)).alias("n_trees"),
                              F.lit(sum(len(t.nodes) for t in trees)).alias("n_nodes"), "auc", "accuracy"))
@@ -225,9 +225,26 @@ def q_champion_gate(x: Inputs):
         parts = []
         for lab, m in fitted.items():
             trees = TR.read_trees(x.spark, m)
-            s = TR.score(sp, trees, C.FEATURES, "__p")
+            s = x.persist(TR.score(sp.select(*C.FEATURES, *C.LABELS, "split"), trees, C.FEATURES, "__p"),
+                          f"gate-scores-{tag}-{lab}")
             b = M.binary_metrics(s, lab, "__p", ["split"]).withColumnRenamed("split", "dataset")
             parts.append(M.metrics_long(b.withColumn("model", F.lit(lab)), ["model", "dataset"]))
         return parts[0].unionByName(parts[1])
 
     return M.champion_gate(long(new, "new"), long(old, "old"))
+
+
+@register("train_window")
+def q_train_window(x: Inputs):
+    """Date-windowed training run: fit the pair on [1996-01-01, 2000-01-01),
+    then train / test metrics per label and cabin x haul segment."""
+    mi = clean.filter_range(x.model_input, C.DATE, dt.date(1996, 1, 1), dt.date(2000, 1, 1), closed="left")
+    sp = SP.split_stratified(mi.withColumn("year", F.year(C.DATE)), ["year"], 0.2, 0.0, seed=0)
+    fitted = models.train_pair(sp.filter(F.col("split") == "train"), params=QUERY_GBT)
+    parts = []
+    for lab, m in fitted.items():
+        trees = TR.read_trees(x.spark, m)
+        s = x.persist(TR.score(sp.select(*C.FEATURES, *C.LABELS, "split", C.CABIN, C.HAUL), trees, C.FEATURES, "__p"),
+                      f"window-scores-{lab}")
+        parts.append(M.binary_metrics(s, lab, "__p", ["split", C.CABIN, C.HAUL]).withColumn("label", F.lit(lab)))
+    return rounded(parts[0].unionByName(parts[1]))

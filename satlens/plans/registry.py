@@ -48,6 +48,10 @@ class Inputs:
         self.sf_dir = sf_dir
         self.materialize = materialize
 
+    def persist(self, df: DataFrame, name: str) -> DataFrame:
+        """Write an intermediate step output to the shared folder and read it back."""
+        return self._persisted(df, name)
+
     def _persisted(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
