@@ -70,17 +70,24 @@ def cv_scores(df: DataFrame, features: Sequence[str], label: str, fold_col: str
               params: Mapping | None = None) -> DataFrame:
     """k fits with early stopping on the held-out fold (validation indicator);
     returns fold, trees kept, validation log-loss and AUC."""
+    import uuid
+
     from satlens.operators.metrics import auc
     from satlens.operators.trees import read_trees, score
+    from satlens.session import scratch_path
     data = assemble(df, features)
     spark = df.sparkSession
 
     def one(f: int):
         d = data.withColumn("__val", F.col(fold_col) == f)
         m = gbt(label, params, validation="__val").fit(d)
-        val = data.filter(F.col(fold_col) == f)
+        val = data.filter(F.col(fold_col) == f).select(*features, label)
         trees = read_trees(spark, m)
-        s = score(val, trees, features, "__p")
+        # Scores are written once (shared checkpoint folder) so the metric plans
+        # scan a small table instead of re-inlining every tree expression.
+        path = scratch_path(spark, f"cv-scores-{uuid.uuid4().hex}")
+        score(val, trees, features, "__p").select(label, "__p").write.mode("overwrite").parquet(path)
+        s = spark.read.parquet(path)
         eps = 1e-15
         pr = F.least(F.greatest(F.col("__p"), F.lit(eps)), F.lit(1 - eps))
         ll = s.agg(F.avg(F.when(F.col(label) == 1, -F.log(pr)).otherwise(-F.log(1 - pr))).alias("ll"))

@@ -27,6 +27,11 @@ DEFAULT_CONF = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "5000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A long-lived driver runs many plans: keep little per-execution history.
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "10000",
 }
 
 
