@@ -27,7 +27,7 @@ def q_nps_by_segment(x: Inputs):
 @register("model_input_summary", MODEL + """
 SELECT count(*) AS n_rows, count(DISTINCT respondent_id) AS n_respondents,
   count(load_factor) AS n_with_lf, round(sum(load_factor), 6) AS lf_sum,
-  sum(otp15_takeoff) AS n_late, sum(promoter_binary) AS n_prom, sum(detractor_binary) AS n_det
+  CAST(sum(otp15_takeoff) AS BIGINT) AS n_late, CAST(sum(promoter_binary) AS BIGINT) AS n_prom, CAST(sum(detractor_binary) AS BIGINT) AS n_det
 FROM model_input""")
 def q_model_input_summary(x: Inputs):
     m = x.model_input

@@ -269,7 +269,7 @@ def q_load_factor_ratio(x: Inputs):
 
 @register("string_ops", BASE + """
 SELECT lower(trim(cla_600_wifi_t_f)) AS wifi_text,
-  CASE WHEN cla_600_wifi_t_f IS NULL THEN 0 ELSE len(string_split(cla_600_wifi_t_f, ' ')) END AS n_tokens,
+  CAST(CASE WHEN cla_600_wifi_t_f IS NULL THEN 0 ELSE len(string_split(cla_600_wifi_t_f, ' ')) END AS INTEGER) AS n_tokens,
   concat_ws('-', CAST(surveyed_flight_number AS VARCHAR), cabin_in_surveyed_flight) AS flight_key,
   count(*) AS n
 FROM survey GROUP BY ALL""")

@@ -43,7 +43,7 @@ def _csv_prefix(x: Inputs) -> str:
 
 
 @register("scan_prefix", BASE + """
-SELECT operating_airline_code, count(*) AS n, sum(nps_100) AS nps_sum, round(sum(ticket_price), 6) AS price_sum
+SELECT operating_airline_code, count(*) AS n, CAST(sum(nps_100) AS BIGINT) AS nps_sum, round(sum(ticket_price), 6) AS price_sum
 FROM survey GROUP BY ALL""")
 def q_scan_prefix(x: Inputs):
     df = FS.scan_csv(x.spark, _csv_prefix(x), CSV_SCHEMA, mode="FAILFAST")
@@ -74,7 +74,7 @@ def q_union_by_name(x: Inputs):
 
 @register("scan_tolerant", BASE + """
 SELECT count_if(respondent_id % 97 <> 0) AS n_good, count_if(respondent_id % 97 = 0) AS n_rejected,
-  sum(CASE WHEN respondent_id % 97 <> 0 THEN nps_100 END) AS nps_sum_good
+  CAST(sum(CASE WHEN respondent_id % 97 <> 0 THEN nps_100 END) AS BIGINT) AS nps_sum_good
 FROM survey""")
 def q_scan_tolerant(x: Inputs):
     path = _fresh(x, "survey-text")
@@ -156,7 +156,7 @@ def q_run_mode(x: Inputs):
 
 
 @register("sink_roundtrip", MODEL + """
-SELECT CAST(date_trunc('month', date_flight_local) AS DATE) AS run_date, count(*) AS n, sum(nps_100) AS nps_sum
+SELECT CAST(date_trunc('month', date_flight_local) AS DATE) AS run_date, count(*) AS n, CAST(sum(nps_100) AS BIGINT) AS nps_sum
 FROM model_input GROUP BY ALL""")
 def q_sink_roundtrip(x: Inputs):
     path = _fresh(x, "model-input-sink")
@@ -196,7 +196,7 @@ _STREAM_COLS = [C.ID, C.DATE, C.CARRIER, "invitegroup_ib", "invitegroup", C.CABI
 
 @register("stream_increments", with_ctes(SURVEY, SURVEY_CLEAN) + """
 SELECT flight_month, cabin_in_surveyed_flight, haul, count(nps_100) AS n_answers,
-  count_if(nps_100 > 8) AS promoters, count_if(nps_100 <= 6) AS detractors, sum(otp15_takeoff) AS n_late
+  count_if(nps_100 > 8) AS promoters, count_if(nps_100 <= 6) AS detractors, CAST(sum(otp15_takeoff) AS BIGINT) AS n_late
 FROM survey_clean GROUP BY ALL""")
 def q_stream_increments(x: Inputs):
     """Monthly snapshot files streamed (availableNow) through the cleaning step

@@ -210,7 +210,7 @@ def q_binned_count(x: Inputs):
 
 
 @register("ols_by_segment", MODEL + """
-SELECT cabin_in_surveyed_flight, haul, regr_count(CAST(nps_100 AS DOUBLE), CAST(pfl_100_checkin AS DOUBLE)) AS n,
+SELECT cabin_in_surveyed_flight, haul, CAST(regr_count(CAST(nps_100 AS DOUBLE), CAST(pfl_100_checkin AS DOUBLE)) AS BIGINT) AS n,
   round(regr_slope(CAST(nps_100 AS DOUBLE), CAST(pfl_100_checkin AS DOUBLE)), 6) AS slope,
   round(regr_intercept(CAST(nps_100 AS DOUBLE), CAST(pfl_100_checkin AS DOUBLE)), 6) AS intercept,
   round(regr_r2(CAST(nps_100 AS DOUBLE), CAST(pfl_100_checkin AS DOUBLE)), 6) AS r2

@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None, note: str = ""):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = Query(name, fn, nudge_rounding(sql) if sql else None, note)
+        QUERIES[name] = Query(name, fn, bigint_counts(nudge_rounding(sql)) if sql else None, note)
         return fn
     return deco
 
@@ -95,6 +95,25 @@ def r6(c) -> Column:
     return F.round(x + F.lit(1e-9), 6) + F.lit(0.0)
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's is BIGINT.  Cast each
+    ``count_if(...)`` of an oracle text to BIGINT so both sides agree."""
+    out, i, key = [], 0, "count_if("
+    low = sql.lower()
+    while True:
+        j = low.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = bigint_counts(sql[j + len(key):k - 1])
+        out.append(sql[i:j] + f"CAST(count_if({inner}) AS BIGINT)")
+        i = k
+
+
 def nudge_rounding(sql: str) -> str:
     """Rewrite every ``round(<expr>, 6)`` of an oracle SQL text into
     ``(round((<expr>) + 1e-9, 6) + 0.0)`` - the same convention as ``r6``."""
