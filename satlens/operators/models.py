@@ -2,8 +2,9 @@
 search, imputers and encoders (§2.10 M4-M8, M19).
 
 Fitting is distributed by MLlib (tree statistics are aggregated per
-partition); parallel fits (folds, grid points, months) share one cached input
-and run concurrently from a thread pool, each as ordinary Spark jobs.
+partition; GBT persists its own training input while it fits).  Independent
+fits (labels, folds, grid points, months) run concurrently from a thread pool,
+each as ordinary Spark jobs.
 """
 
 from __future__ import annotations
@@ -146,7 +147,7 @@ def impute_gbt_by_month(df: DataFrame, target: str, features: Sequence[str], mon
                         max_iter: int = 20, depth: int = 3, step: float = 0.1) -> DataFrame:
     """Per calendar month, a GBT regressor fitted on known targets fills the
     missing ones; months without any known target keep NULL.  The month fits
-    run concurrently over one cached input; the result is one union."""
+    (at most 12) run concurrently; the result is one union of the months."""
     data = assemble(df, features)
     months = [r[0] for r in data.select(month_col).distinct().collect()]  # at most 12 values
 
