@@ -27,7 +27,6 @@ from collections.abc import Sequence
 import numpy as np
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from satlens.operators.trees import MISSING, Tree

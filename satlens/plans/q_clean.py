@@ -5,12 +5,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from satlens import config as C
 from satlens.functions import scalar as S
 from satlens.operators import clean, joins, nps
-from satlens.plans import etl
 from satlens.plans.oracle_base import BASE, MODEL, LOAD_FACTOR, SURVEY, with_ctes
 from satlens.plans.registry import Inputs, r6, register, rounded
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.functions import scalar as S
 from satlens.operators import clean, nps
 from satlens.plans import etl
-from satlens.plans.oracle_base import BASE, MODEL, with_ctes, SURVEY, LOAD_FACTOR
+from satlens.plans.oracle_base import BASE, MODEL
 from satlens.plans.registry import Inputs, r6, register
 
 _MONTH = "CAST(date_trunc('month', date_flight_local) AS DATE)"

@@ -15,12 +15,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.functions.scalar import month_start
 from satlens.operators import clean, metrics as M, models, split as SP, stats
 from satlens.operators import trees as TR
 from satlens.operators.treeshap import tree_shap
-from satlens.plans.oracle_base import MODEL, SCORED
-from satlens.plans.registry import Inputs, r6, register, rounded
+from satlens.plans.oracle_base import MODEL
+from satlens.plans.registry import Inputs, register, rounded
 from satlens.plans.scoring import predict_and_explain
 from satlens.session import scratch_path
 

@@ -8,10 +8,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.functions import aggregates as A
 from satlens.functions import scalar as S
-from satlens.operators import clean, joins, nps, reshape, stats, windows
-from satlens.plans import etl
+from satlens.operators import joins, nps, reshape, stats, windows
 from satlens.plans.oracle_base import BASE, MODEL, SCORED, LOAD_FACTOR, SURVEY, with_ctes
 from satlens.plans.registry import Inputs, r6, register, rounded
 
