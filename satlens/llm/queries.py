@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from satlens.llm import packing, token_count
-from satlens.llm.common import table
+from satlens.llm import huffman_ids, packing, token_count
+from satlens.llm.common import materialize, shared_path, table
 
 QUERIES = {}
 SQL = {}
@@ -31,3 +32,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                                   end_id=0, capacity=2048)
+
+
+@query("op7_huffman_ids")
+def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "huffman")
+    huffman_ids.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder, end_id=2)
+    rows = huffman_ids.read_ids(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return huffman_ids.with_start(materialize(rows, "huffman-digests")).select("doc_id", "start", "n_tokens", "ids_crc32")
