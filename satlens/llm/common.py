@@ -11,7 +11,7 @@ from pyspark.sql.column import Column
 from satlens.session import ensure_checkpoint_dir
 
 #: Words of a text: runs of anything but blanks and the ASCII controls tab to carriage return.
-WORD_GAP = r"[\x20\x09-\x0D]+"
+WORD_GAP, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ from satlens.llm.common import materialize
 from satlens.llm.pretokens import encoder
 
 #: Rows of one length that a rank window should hold, and at most so many buckets.
-RANK_ROWS = 50_000
+RANK_ROWS = 1000
 MAX_BUCKETS = 1 << 16
 
 
@@ -183,7 +183,7 @@ def with_rank(pieces: DataFrame, order: list[str], total: int) -> DataFrame:
     A length is dealt over hash buckets; counts per (length, bucket) give each
     bucket's first rank, and only a bucket is ever sorted.
     """
-    buckets = int(min(MAX_BUCKETS, max(1, total // RANK_ROWS + 1) * 4))
+    buckets = int(min(MAX_BUCKETS, total // RANK_ROWS + 1))
     spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
     first = (spread.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
              .withColumn("_first", F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("_n"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import huffman_ids, packing, token_count
+from satlens.llm import huffman_ids, mixing, packing, token_count
 from satlens.llm.common import materialize, shared_path, table
 
 QUERIES = {}
@@ -40,3 +40,9 @@ def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     huffman_ids.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder, end_id=2)
     rows = huffman_ids.read_ids(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return huffman_ids.with_start(materialize(rows, "huffman-digests")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op8_mix_sources")
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), mixing.Mix())
+    return mixed.taken().select("doc_id", "size", "source_size", "target", "taken")
