@@ -33,7 +33,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Array of the words of a whole text; empty for null or blank text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), F.lit(""))
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with ``value`` evaluated once, even where ``use`` has it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
+    """Marks a side of a few fixed-width columns for broadcasting when its counted rows are few; else Spark joins by shuffle."""
+    return F.broadcast(df) if df.count() <= most_rows else df
 
 
 def parts(spark: SparkSession) -> int:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import huffman_ids, mixing, packing, token_count
+from satlens.llm import huffman_ids, mixing, packing, quality_llr, token_count
 from satlens.llm.common import materialize, shared_path, table
 
 QUERIES = {}
@@ -46,3 +46,9 @@ def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), mixing.Mix())
     return mixed.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_ngram_llr")
+def op4_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_llr.score(table(spark, sf_dir, "documents"), trusted)
