@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import huffman_ids, mixing, packing, quality_llr, token_count
+from satlens.llm import balltree, huffman_ids, mixing, packing, quality_llr, token_count
 from satlens.llm.common import materialize, shared_path, table
 
 QUERIES = {}
@@ -52,3 +52,17 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality_llr.score(table(spark, sf_dir, "documents"), trusted)
+
+
+@query("op9_ball_tree_top_k", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 10""")
+def op9_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, 10)
