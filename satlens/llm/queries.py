@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import balltree, huffman_ids, mixing, packing, quality_llr, token_count
+from satlens.llm import balltree, huffman_ids, mixing, packing, quality_llr, token_count, warc
 from satlens.llm.common import materialize, shared_path, table
 
 QUERIES = {}
@@ -66,3 +66,20 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 10""")
 def op9_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, 10)
+
+
+@query("op3_warc_salvage", """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id <> f.first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_bytes >= 100 AND p.payload_digest = f.payload_digest""")
+def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    found = warc.read_warc(spark, folder, payloads=False).where("kind = 'record'")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
