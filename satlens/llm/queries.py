@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import balltree, huffman_ids, mixing, packing, quality_llr, token_count, warc
+from satlens.llm import balltree, huffman_ids, mixing, packing, quality_llr, token_count, toxicity, warc
 from satlens.llm.common import materialize, shared_path, table
 
 QUERIES = {}
@@ -83,3 +83,10 @@ def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
     found = warc.read_warc(spark, folder, payloads=False).where("kind = 'record'")
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op1_toxicity_chain")
+def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit_chain(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), toxicity.default_categories())
+    return chain.score(docs.select("doc_id", "text")).drop("text")
