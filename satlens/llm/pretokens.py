@@ -25,8 +25,8 @@ TABLE_SIZE = 0x3000
 #: Blocks whose characters never join a neighbour under canonical composition.
 PLAIN_BLOCKS = ((0x0000, 0x0300), (0x0370, 0x0483), (0x048A, 0x0530), (0x2010, 0x2070), (0x20A0, 0x20C0))
 #: Characters handled at once, entries kept in the memo, longest piece hashed by numpy.
-CHUNK_CHARS = 1 << 20
-MEMO_ENTRIES = 2_000_000
+CHUNK_CHARS = 1 << 19
+MEMO_ENTRIES = 1_500_000
 LONG_PIECE = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -40,9 +40,10 @@ class Settings:
     max_labelled: int = 20_000
     folds: int = 3
     vocabulary: int = 1 << 16
-    min_documents: int = 2
-    iterations: int = 20
-    penalty: float = 1e-3
+    min_documents: int = 3
+    iterations: int = 25
+    penalty: float = 3e-3
+    lasso: float = 1.0  # share of the absolute-value penalty, which leaves few words with a weight
 
 
 def text_words(text: Column) -> Column:
@@ -111,11 +112,11 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
         return chain
     marks = {f"_y{k}": c.cast("double") for k, c in enumerate(categories.values())}
     train = materialize(chain.words.transform(rows.withColumn("words", F.col("_tokens"))).withColumns(marks)
-                        .select("_words", "fold", *marks).coalesce(8), "toxicity-train").cache()
+                        .select("_words", "fold", *marks).coalesce(4), "toxicity-train").cache()
 
     def fitted(df: DataFrame, k: int) -> LogisticRegressionModel:
         return LogisticRegression(featuresCol="_in", labelCol=f"_y{k}", maxIter=settings.iterations,
-                                  regParam=settings.penalty).fit(chain._inputs(df, k))
+                                  regParam=settings.penalty, elasticNetParam=settings.lasso).fit(chain._inputs(df, k))
 
     for k in range(len(categories)):
         with ThreadPool(settings.folds + 1) as pool:
@@ -126,7 +127,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
         last, train = train, out[0]
         for part in out[1:]:
             train = train.unionByName(part)
-        train = materialize(train.coalesce(8), f"toxicity-link{k}").cache()  # _p0 .. _pk are out-of-fold
+        train = materialize(train.coalesce(4), f"toxicity-link{k}").cache()  # _p0 .. _pk are out-of-fold
         last.unpersist()
     chain.threshold = best_threshold(train, f"_p{k}", f"_y{k}")
     train.unpersist()
