@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import balltree, huffman_ids, mixing, packing, quality_llr, token_count, toxicity, warc
+from satlens.llm import balltree, huffman_ids, mixing, packing, pii_surrogate, quality_llr, token_count, toxicity, warc
 from satlens.llm.common import materialize, shared_path, table
 
+#: Key of the surrogates; production passes its own secret.
+SURROGATE_KEY = "satlens-surrogates"
 QUERIES = {}
 SQL = {}
 
@@ -90,3 +92,8 @@ def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chain = toxicity.fit_chain(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), toxicity.default_categories())
     return chain.score(docs.select("doc_id", "text")).drop("text")
+
+
+@query("op5_pii_surrogates")
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogate.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
