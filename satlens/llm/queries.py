@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import balltree, huffman_ids, mixing, packing, pii_surrogate, quality_llr, token_count, toxicity, warc
+from satlens.llm import (balltree, huffman_ids, mixing, ngram_join, packing, pii_surrogate, quality_llr, token_count,
+                         toxicity, warc)
 from satlens.llm.common import materialize, shared_path, table
 
 #: Key of the surrogates; production passes its own secret.
@@ -97,3 +98,8 @@ def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii_surrogates")
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_surrogate.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
+@query("op2_ngram_jaccard_join")
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), width=4, percent=85)
