@@ -25,7 +25,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from satlens.llm.common import WORD, materialize
+from satlens.llm.common import WORD, let, materialize, words
 
 #: Rows that one prefix-sum bucket should hold, and at most so many buckets.
 BUCKET_ROWS = 256
@@ -109,33 +109,34 @@ def slots(spark, quotas: list[tuple[int, int, int]], mix: Mix) -> DataFrame:
                 .join(base, ["shard", "pick"]).withColumn("k", F.col("base") + F.col("in_shard")).drop("base", "in_shard"))
     # slots beyond a quota fill the quotas that the draw left open, in order
     had = {r["pick"]: r["n"] for r in counts.groupBy("pick").agg(F.sum("n").alias("n")).collect()}  # one row a source
-    over, short, spilled, filled = [], [], 0, 0
+    spill, short, spilled, filled = [], [], 0, 0
     for i, (_, q, _) in enumerate(quotas):
         n = had.get(i, 0)
-        if n > q:
-            over.append((i, q, spilled))
-            spilled += n - q
-        elif n < q:
-            short.append((filled, filled + q - n, i, n))
+        spill.append(spilled)
+        spilled += max(0, n - q)
+        if n < q:
+            short.append((filled, i, n))
             filled += q - n
-    pick, k = F.col("pick"), F.col("k")
-    if over:
-        spare = F.lit(None).cast("long")
-        for i, q, first in over:
-            spare = F.when((pick == i) & (k >= q), F.lit(first) + k - q).otherwise(spare)
-        numbered = numbered.withColumn("spare", spare)
-        new_pick, new_k = pick, k
-        for a, b, i, n in short:
-            here = (F.col("spare") >= a) & (F.col("spare") < b)
-            new_pick = F.when(here, F.lit(i)).otherwise(new_pick)
-            new_k = F.when(here, F.col("spare") - a + n).otherwise(new_k)
-        numbered = numbered.select("shard", "slot", new_pick.alias("pick"), new_k.alias("k"))
-    source = F.element_at(F.lit([s for s, _, _ in quotas]), (pick + 1).cast("int"))
-    blocks = F.element_at(F.lit([b for _, _, b in quotas]), (pick + 1).cast("int")).cast("long")
-    return (numbered.withColumns({"source_no": source.cast("long"), "blocks": blocks})
-            .withColumn("block_no", permuted(F.pmod(k, F.col("blocks")), F.col("blocks"), F.lit(mix.seed), F.col("source_no"),
-                                             (k / F.col("blocks")).cast("long")))
-            .select("shard", "slot", "source_no", "block_no"))
+
+    def of(values: list[int], i: Column) -> Column:
+        return F.get(F.lit(values or [0]), i.cast("int")).cast("long")
+
+    def redealt(spare: Column) -> Column:
+        i = F.size(F.filter(F.lit([a for a, _, _ in short] or [0]), lambda a: a <= spare)) - 1
+        return let(i, lambda j: F.struct(of([i for _, i, _ in short], j).alias("pick"),
+                                         (spare - of([a for a, _, _ in short], j) + of([n for _, _, n in short], j)).alias("k")))
+
+    pick, k, quota = F.col("pick"), F.col("k"), of([q for _, q, _ in quotas], F.col("pick"))
+    kept = F.struct(pick.cast("long").alias("pick"), k.cast("long").alias("k"))
+    place = F.when(k < quota, kept).otherwise(let(of(spill, pick) + k - quota, redealt))
+
+    def found(p: Column) -> Column:
+        source, blocks = of([s for s, _, _ in quotas], p["pick"]), of([b for _, _, b in quotas], p["pick"])
+        return let(F.struct(source.alias("s"), blocks.alias("n"), p["k"].alias("k")), lambda x: F.struct(
+            x["s"].alias("source_no"),
+            permuted(F.pmod(x["k"], x["n"]), x["n"], F.lit(mix.seed), x["s"], F.floor(x["k"] / x["n"])).alias("block_no")))
+
+    return numbered.select("shard", "slot", let(place, found).alias("_at")).select("shard", "slot", "_at.*")
 
 
 @dataclass(frozen=True)
@@ -185,3 +186,33 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), *, id_col: str = "doc_id", te
               .withColumn("words", F.least(F.col("first") + F.col("size"), (F.col("block_no") + 1) * step) - F.col("first") - F.col("begin"))
               .drop("size"))
     return Mixed(documents, blocks, slots(spark, quotas, mix))
+
+
+def mixed_documents(docs: DataFrame, mix: Mix = Mix(), *, id_col: str = "doc_id", text_col: str = "text",
+                    source_col: str = "source") -> DataFrame:
+    """The documents of the mix, with the columns of ``docs``.
+
+    A source whose every block is taken m times gives m whole copies of each of
+    its documents; words of blocks that are taken once more make a further copy
+    that holds only them, in order, joined by blanks.  Rows equal in id and text
+    are one document here; documents of which nothing is taken have no row,
+    except those without words, which are neither taken nor left out: they stay.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, "_key"])
+    one = materialize(keyed.select(F.xxhash64(id_col, "_key").alias("_row"), text_col, source_col), "mix-rows")
+    mixed = mix_sources(one, mix, id_col="_row", text_col=text_col, source_col=source_col)
+    uses = mixed.slots.groupBy("source_no", "block_no").agg(F.count("*").alias("uses"))
+    # sources whose blocks are all taken at least once: the smallest use, 0 where a block is left out
+    used = mixed.blocks.join(uses, ["source_no", "block_no"], "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+    used = materialize(used, "mix-uses")
+    whole = used.groupBy(F.col("source_no").alias("s")).agg(F.min("uses").alias("whole"))  # one row a source
+    spans = (used.join(whole, F.col("source_no") == F.col("s")).groupBy(F.col("doc_id").alias("_of"))
+             .agg(F.first("whole").alias("_whole"), F.sort_array(F.collect_list(
+                 F.when(F.col("uses") > F.col("whole"), F.struct("begin", "words")))).alias("_spans")))
+    joined = keyed.withColumn("_row", F.xxhash64(id_col, "_key")).join(spans, F.col("_row") == F.col("_of"), "left")
+    text, spans = F.col(text_col), F.col("_spans")
+    some = let(words(text), lambda w: F.array_join(F.flatten(F.transform(
+        spans, lambda x: F.slice(w, (x["begin"] + 1).cast("int"), x["words"].cast("int")))), " "))
+    copies = F.concat(F.array_repeat(text, F.col("_whole").cast("int")), F.when(F.size(spans) > 0, F.array(some)).otherwise(F.array().cast("array<string>")))
+    out = joined.withColumn("_text", F.explode(F.when(F.col("_of").isNull(), F.array(text)).otherwise(copies)))
+    return out.select(*[F.col("_text").alias(c) if c == text_col else F.col(c) for c in docs.columns])
