@@ -49,12 +49,6 @@ def linear_contributions(df: DataFrame, weights: Mapping[str, float], suffix: st
     return out.withColumns({f"out_value{suffix}": total, f"out_prob{suffix}": inv_logit(total)})
 
 
-def scale_contributions(df: DataFrame, features: Sequence[str], suffix: str, factor: float) -> DataFrame:
-    """Multiply contributions and base by a constant (e.g. detractor = -0.5 x promoter)."""
-    cols = {f"{f}{suffix}": F.col(f"{f}{suffix}") * F.lit(factor) for f in features}
-    return df.withColumns(cols)
-
-
 def to_probability(df: DataFrame, features: Sequence[str], suffix: str) -> DataFrame:
     """Rescale log-odds contributions to probability units per row:
     base_prob = sigmoid(base_value); phi_j <- phi_j * (out_prob - base_prob) / sum(phi),

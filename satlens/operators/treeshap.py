@@ -1,6 +1,6 @@
 """Path-dependent Tree SHAP for MLlib GBT classifiers (§2.10 M13).
 
-The only Python in the scoring path: ``mapInPandas`` over Arrow batches, with
+The only Python in the scoring path: ``mapInArrow`` batches, with
 the (parameter-bounded) tree table shipped in the task closure.  Rows stay
 where Spark put them; no shuffle.
 
@@ -22,14 +22,15 @@ rows of a batch.  Efficiency holds exactly: sum(phi) + base = model log-odds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from satlens.operators.trees import MISSING, Tree
+from satlens.operators.trees import NodeArrays, Tree, ensemble_columns, with_columns
 
 
 def leaf_paths(tree: Tree) -> tuple[list[tuple], float]:
@@ -96,42 +97,38 @@ def shap_batch(X: np.ndarray, leaves: list, base: float) -> np.ndarray:
     return phi
 
 
-def _ship_by_value() -> None:
-    """Serialise this module's functions with the task instead of importing
-    the package on executors (workers need numpy/pandas only)."""
-    import sys
-
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+def shap_columns(x: np.ndarray, compiled: tuple[list, float], features: Sequence[str], suffix: str) -> dict[str, np.ndarray]:
+    """Contributions, base and output value (log-odds) of a batch, by column name."""
+    leaves, base = compiled
+    phi = shap_batch(x, leaves, base)
+    out = {f"{f}{suffix}": phi[:, j] for j, f in enumerate(features)}
+    return out | {f"base_value{suffix}": np.full(len(x), base), f"out_value{suffix}": phi.sum(axis=1) + base}
 
 
 def tree_shap(df: DataFrame, trees: Sequence[Tree], features: Sequence[str], suffix: str) -> DataFrame:
     """``df`` plus per-row contributions ``<f><suffix>``, ``base_value<suffix>``
     and ``out_value<suffix>`` (log-odds) of a GBT classifier.  All input
     columns pass through, so no join is needed to reattach them."""
-    return tree_shap_many(df, {suffix: trees}, features)
+    return explain_many(df, {suffix: trees}, features)
 
 
-def tree_shap_many(df: DataFrame, models: dict, features: Sequence[str]) -> DataFrame:
-    """Tree SHAP of several models (suffix -> trees) in ONE Arrow pass."""
-    _ship_by_value()
-    compiled = {s: compile_model(t) for s, t in models.items()}
+def explain_many(df: DataFrame, models: Mapping[str, Sequence[Tree]], features: Sequence[str],
+                 ensemble_step: int | None = None) -> DataFrame:
+    """Tree SHAP of several models (suffix -> trees) and, with ``ensemble_step``,
+    their virtual-ensemble mean and uncertainty, in ONE Arrow pass."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need numpy and pyarrow only
     feats = list(features)
-    new = [c for s in models for c in [f"{f}{s}" for f in feats] + [f"base_value{s}", f"out_value{s}"]]
-    schema = T.StructType([f for f in df.schema.fields if f.name not in new] +
-                          [T.StructField(c, T.DoubleType()) for c in new])
-    keep = [f.name for f in df.schema.fields if f.name not in new]
-
-    def run(batches):
-        for pdf in batches:
-            X = pdf[feats].astype(float).fillna(MISSING).to_numpy()
-            out = pdf[keep].copy()
-            for suffix, (leaves, base) in compiled.items():
-                phi = shap_batch(X, leaves, base)
-                for j, f in enumerate(feats):
-                    out[f"{f}{suffix}"] = phi[:, j]
-                out[f"base_value{suffix}"] = base
-                out[f"out_value{suffix}"] = phi.sum(axis=1) + base
-            yield out
-
-    return df.mapInPandas(run, schema)
+    compiled = {s: compile_model(t) for s, t in models.items()}
+    arrays = {s: NodeArrays.of(t) for s, t in models.items()} if ensemble_step else {}
+    names = [f"{c}{s}" for s in models for c in [*feats, "base_value", "out_value"]]
+    names += [f"{c}{s}" for s in arrays for c in ("mean_proba", "uncertainty")]
+
+    def compute(x):
+        out = {}
+        for s, c in compiled.items():
+            out |= shap_columns(x, c, feats, s)
+        for s, a in arrays.items():
+            out |= ensemble_columns(a.terms(x), ensemble_step, s)
+        return out
+
+    return with_columns(df, feats, names, compute)

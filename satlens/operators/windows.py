@@ -30,14 +30,6 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
-                    rank_col: str | None = None) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    name = rank_col or "__rn"
-    out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
-    return out if rank_col else out.drop(name)
-
-
 def pct_change(df: DataFrame, keys: Sequence[str], order: str, value: str, out: str = "pct_change",
                fill_forward: bool = True) -> DataFrame:
     """x / previous x - 1 within each key, NULL for the first row; with
@@ -49,10 +41,3 @@ def pct_change(df: DataFrame, keys: Sequence[str], order: str, value: str, out:
     tmp = df.withColumn("__x", x)
     prev = F.lag("__x").over(w)
     return tmp.withColumn(out, F.try_divide(F.col("__x"), prev) - 1).drop("__x")
-
-
-def running_offsets(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                    out: str = "start") -> DataFrame:
-    """Sum of the previous values in order (waterfall start of each bar)."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0.0)))

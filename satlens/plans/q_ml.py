@@ -62,7 +62,7 @@ def q_score_pair(x: Inputs):
 def q_tree_shap(x: Inputs):
     pair = _pair(x)
     t = tree_shap(x.model_input, pair[C.PROMOTER], C.FEATURES, "_prom")
-    t = t.withColumn("__m", TR.margin_expr(pair[C.PROMOTER], C.FEATURES))
+    t = TR.margins(t, {"__m": pair[C.PROMOTER]}, C.FEATURES)
     return rounded(t.select(C.ID, *[f"{f}_prom" for f in C.FEATURES], "base_value_prom", "out_value_prom",
                             F.abs(F.col("out_value_prom") - F.col("__m")).alias("efficiency_error")))
 
@@ -70,8 +70,8 @@ def q_tree_shap(x: Inputs):
 @register("virtual_ensemble")
 def q_virtual_ensemble(x: Inputs):
     pair = _pair(x)
-    t = TR.virtual_ensemble(x.model_input, pair[C.PROMOTER], C.FEATURES, 2, "_prom")
-    t = TR.virtual_ensemble(t, pair[C.DETRACTOR], C.FEATURES, 2, "_det")
+    t = TR.virtual_ensemble_many(x.model_input, {"_prom": pair[C.PROMOTER], "_det": pair[C.DETRACTOR]}, C.FEATURES,
+                                 C.ENSEMBLE_STEP)
     return rounded(t.select(C.ID, "mean_proba_prom", "uncertainty_prom", "mean_proba_det", "uncertainty_det"))
 
 

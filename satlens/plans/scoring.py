@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators.contributions import linear_contributions, nps_merge, scale_contributions, to_probability
+from satlens.operators.contributions import linear_contributions, nps_merge, to_probability
 
 # Fixture model (FIXTURES B3): promoter log-odds linear in three touchpoints,
 # detractor = -0.5 x promoter; missing wifi answers count as 0.
@@ -42,8 +42,6 @@ def linear_scored(model_input: DataFrame, features=C.FEATURES) -> DataFrame:
     return nps_merge(t, features)
 
 
-__all__ = ["linear_contribution_table", "linear_scored", "scale_contributions"]
-
 
 # ---------------------------------------------------------------------------
 # Model-based scoring (MLlib GBT pair)
@@ -52,21 +50,18 @@ def predict_and_explain(df: DataFrame, trees_prom, trees_det, features=C.FEATURE
                         step: int = C.ENSEMBLE_STEP, lineage: dict | None = None) -> DataFrame:
     """Score every row with both classifiers and explain it.
 
-    Tree SHAP of both labels in one Arrow pass (log-odds, columns pass through),
-    probability-scale rescale, virtual-ensemble mean / std per label, then the
-    promoter - detractor merge and lineage columns.  Narrow plan: no shuffle.
+    Tree SHAP and the virtual ensemble of both labels come from one Arrow pass
+    (columns pass through); then the probability-scale rescale, the promoter -
+    detractor merge and lineage columns.  Narrow plan: no shuffle.
     """
     from satlens.functions.scalar import inv_logit
-    from satlens.operators.treeshap import tree_shap_many
-    from satlens.operators.trees import virtual_ensemble
+    from satlens.operators.treeshap import explain_many
 
-    t = tree_shap_many(df, {"_prom": trees_prom, "_det": trees_det}, features)
+    t = explain_many(df, {"_prom": trees_prom, "_det": trees_det}, features, ensemble_step=step)
     t = t.withColumns({"out_prob_prom": inv_logit(F.col("out_value_prom")),
                        "out_prob_det": inv_logit(F.col("out_value_det"))})
     t = to_probability(t, features, "_prom")
     t = to_probability(t, features, "_det")
-    t = virtual_ensemble(t, trees_prom, features, step, "_prom")
-    t = virtual_ensemble(t, trees_det, features, step, "_det")
     t = nps_merge(t, features)
     for k, v in (lineage or {}).items():
         t = t.withColumn(k, F.lit(v))

@@ -84,8 +84,37 @@ def test_gbt_native_scoring_shap_and_ensemble(spark, inputs):
     a = models.assemble(mi, C.FEATURES)
     cmp = TR.score(models.probability(a, m, "p_ml"), trees, C.FEATURES, "p_nat")
     assert cmp.agg(F.max(F.abs(F.col("p_ml") - F.col("p_nat")))).first()[0] < 1e-12
-    sh = TS.tree_shap(mi, trees, C.FEATURES, "_prom").withColumn("m", TR.margin_expr(trees, C.FEATURES))
+    sh = TR.margins(TS.tree_shap(mi, trees, C.FEATURES, "_prom"), {"m": trees}, C.FEATURES)
     assert sh.agg(F.max(F.abs(F.col("out_value_prom") - F.col("m")))).first()[0] < 1e-9
     ve = TR.virtual_ensemble(mi, trees, C.FEATURES, 1, "_prom")
     r = ve.agg(F.min("mean_proba_prom"), F.max("mean_proba_prom"), F.min("uncertainty_prom")).first()
     assert 0.0 <= r[0] <= r[1] <= 1.0 and r[2] >= 0.0
+
+
+def test_nan_is_missing_and_large_ids_survive(spark):
+    """NaN in a non-nullable column scores, explains and imputes like NULL; other columns pass through bit for bit."""
+    from pyspark.sql import types as T
+    tree = _tree(0.7, (0, 0.5, ((1, 0.3, (1.0, 20.0), (2.0, 40.0)), 60.0), (3.0, 40.0)))
+    ids = [2**53 + 1, 2**62 + 3, -5, 7]
+    rows = [(ids[0], float("nan"), 1.0, None), (ids[1], 0.2, 0.1, 2**53 + 1), (ids[2], 0.9, float("nan"), 3), (ids[3], -1e8, 1.0, 4)]
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("a", T.DoubleType(), False),
+                           T.StructField("b", T.DoubleType(), False), T.StructField("n", T.LongType(), True)])
+    df = spark.createDataFrame(rows, schema)
+    out = TR.score(TS.explain_many(df, {"_x": [tree]}, ["a", "b"], ensemble_step=1), [tree], ["a", "b"], "p").collect()
+    as_null = spark.createDataFrame([(i, None if a != a else a, None if b != b else b, n) for i, a, b, n in rows], "id long, a double, b double, n long")
+    same = TR.score(TS.explain_many(as_null, {"_x": [tree]}, ["a", "b"], ensemble_step=1), [tree], ["a", "b"], "p").collect()
+    assert [(r["id"], r["n"]) for r in out] == [(r[0], r[3]) for r in rows]
+    for r, q, x in zip(out, same, ([-1e9, 1.0], [0.2, 0.1], [0.9, -1e9], [-1e8, 1.0])):
+        want = _value([tree], x, {0, 1})
+        assert r["out_value_x"] == pytest.approx(want) and r["p"] == pytest.approx(1 / (1 + np.exp(-want)))
+        assert all(r[c] == q[c] for c in ("a_x", "b_x", "out_value_x", "p", "mean_proba_x", "uncertainty_x"))
+
+
+def test_many_trees_keep_the_plan_small(spark, inputs):
+    tree = _tree(0.1, (0, 50.0, ((1, 0.3, (1.0, 20.0), (2.0, 40.0)), 60.0), (-1.0, 40.0)))
+    few = TR.virtual_ensemble(inputs.model_input, [tree] * 10, C.FEATURES, 5, "_p")
+    many = TR.virtual_ensemble(inputs.model_input, [tree] * 240, C.FEATURES, 5, "_p")
+    size = lambda df: len(df._jdf.queryExecution().toString())
+    assert size(many) < 1.2 * size(few)
+    r = many.agg(F.min("uncertainty_p"), F.max("mean_proba_p")).first()
+    assert r[0] >= 0 and r[1] <= 1
