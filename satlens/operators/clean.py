@@ -147,17 +147,32 @@ def schema_groups(df: DataFrame) -> dict[str, list[str]]:
 
 def cast_types(df: DataFrame, int_to: str = "smallint", float_to: str = "float",
                skip: Sequence[str] = ()) -> DataFrame:
-    """Downcast integer and double columns; out-of-range values become NULL
-    (try_cast) instead of wrapping around."""
+    """Downcast the integer and double columns whose values all fit; the others
+    keep their type, so that no value is lost.  One aggregate decides them all;
+    a column without values fits."""
+    ranges = {"tinyint": 2**7, "smallint": 2**15, "int": 2**31, "bigint": 2**63}
+    wide = [f for f in df.schema.fields if f.name not in skip and isinstance(f.dataType, (T.LongType, T.IntegerType, T.DoubleType))]
+    checks = []
+    for f in wide:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DoubleType):
+            finite = ~F.isnan(c) & (F.abs(c) != float("inf"))
+            bad = finite & (F.abs(c) > 3.4028234663852886e38) & F.lit(float_to == "float")
+        else:
+            top = ranges[int_to]
+            bad = (c < F.lit(-top).cast("decimal(20,0)")) | (c >= F.lit(top).cast("decimal(20,0)"))
+        checks.append(F.coalesce(F.max(bad), F.lit(False)).alias(f.name))
+    row = df.agg(*checks).first() if checks else {}
+    skip = [*skip, *(f.name for f in wide if row[f.name])]
     exprs = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if f.name in skip:
             exprs.append(c)
         elif isinstance(f.dataType, (T.LongType, T.IntegerType)):
-            exprs.append(c.try_cast(int_to).alias(f.name))
+            exprs.append(c.cast(int_to).alias(f.name))
         elif isinstance(f.dataType, T.DoubleType):
-            exprs.append(c.try_cast(float_to).alias(f.name))
+            exprs.append(c.cast(float_to).alias(f.name))
         else:
             exprs.append(c)
     return df.select(*exprs)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from satlens import config as C
 from satlens.functions import aggregates as A
+from satlens.operators.joins import left_join_null_safe
 from satlens.functions.scalar import month_start
 
 PERIOD = "period"
@@ -80,7 +81,7 @@ def calendar_fill(expl: DataFrame, start, end, segment: Sequence[str] = C.SEGMEN
     cal = (expl.select(*segment).distinct().select(*segment, days.alias(PERIOD))
            .select(PERIOD, *segment, F.inline(feats)))
     keys = [PERIOD, *segment, "feature", "position"]
-    return cal.join(expl, keys, "left")
+    return left_join_null_safe(cal, expl, keys)
 
 
 def group_keys(expl: DataFrame, segment: Sequence[str] = C.SEGMENT) -> list[str]:
@@ -107,7 +108,8 @@ def uplift(current: DataFrame, previous: DataFrame, on: Sequence[str],
         "p__sum", F.sum("p__value").over(Window.partitionBy(*[f"p__{c}" for c in pk])))
     cond = None
     for lc, rc in on:
-        e = F.col(lc) == F.col(f"p__{rc}")
+        period = rc == PERIOD  # segments and features match NULL with NULL, a missing period nothing
+        e = F.col(lc) == F.col(f"p__{rc}") if period else F.col(lc).eqNullSafe(F.col(f"p__{rc}"))
         cond = e if cond is None else cond & e
     j = current.join(p, cond, "inner")
     return j.select(
@@ -222,7 +224,7 @@ def adjust_to_actual(expl: DataFrame, actual: DataFrame, segment: Sequence[str]
     ``matches`` (|base + sum(adjusted) - actual| <= atol)."""
     keys = [PERIOD, *segment]
     g = Window.partitionBy(*group_keys(expl, segment))
-    t = expl.join(actual, keys, "inner")
+    t = left_join_null_safe(expl, actual, keys, "inner")
     v = F.col("value")
     t = t.withColumns({"__s": F.sum(v).over(g),
                        "__p": F.sum(F.when(v > 0, v).otherwise(0.0)).over(g),
@@ -264,6 +266,6 @@ def waterfall(adjusted: DataFrame, segment: Sequence[str] = C.SEGMENT, value: st
 def nps_mae(expl: DataFrame, actual: DataFrame, segment: Sequence[str] = C.SEGMENT) -> DataFrame:
     """Mean absolute error of predicted vs observed NPS x100 over periods."""
     per = expl.select(PERIOD, *segment, "prediction_pct").distinct()
-    j = per.join(actual, [PERIOD, *segment], "inner")
+    j = left_join_null_safe(per, actual, [PERIOD, *segment], "inner")
     return j.groupBy(*segment).agg(F.count(F.lit(1)).alias("n_periods"),
                                    F.avg(F.abs(F.col("prediction_pct") - F.col("actual"))).alias("mae"))

@@ -9,18 +9,14 @@ from pyspark.sql import functions as F
 
 from satlens import config as C
 
-# A dictionary names columns, so it must be known when the plan is built; it
-# is metadata (one row per issue column), never data rows.
-MAX_DICTIONARY_ROWS = 10_000
-
-
 def issue_flags(df: DataFrame, dictionary: DataFrame, touchpoint_col: str = "associated_touchpoint",
                 issue_col: str = "issue_type_2") -> DataFrame:
     """Each issue column -> 0/1 (raised = non-null); ``issues_<touchpoint>`` = any
-    of that touchpoint's issues raised."""
-    pairs = dictionary.select(touchpoint_col, issue_col).distinct().limit(MAX_DICTIONARY_ROWS + 1).collect()
-    if len(pairs) > MAX_DICTIONARY_ROWS:
-        raise ValueError("issue dictionary too large to become columns")
+    of that touchpoint's issues raised.  Only issues that are columns of ``df``
+    count, and of each the distinct touchpoints, so that what names the columns
+    of the plan is bounded by the columns there are."""
+    named = dictionary.where(F.col(issue_col).isin(list(df.columns)) & F.col(touchpoint_col).isNotNull())
+    pairs = named.select(touchpoint_col, issue_col).distinct().collect()
     by_tp: dict[str, list[str]] = {}
     for tp, issue in pairs:
         by_tp.setdefault(tp, []).append(issue)

@@ -97,7 +97,7 @@ def join_fanout(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     count and total, without running the join itself."""
     lc = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_left"))
     rc = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_right"))
-    j = lc.join(rc, list(keys), "inner")
+    j = left_join_null_safe(lc, rc, keys, "inner")  # pandas matches missing keys too
     return j.agg(F.count(F.lit(1)).alias("n_keys"),
                  F.sum(F.col("n_left") * F.col("n_right")).cast("bigint").alias("n_pairs"),
                  F.max(F.col("n_left") * F.col("n_right")).cast("bigint").alias("max_pairs_per_key"))
@@ -120,7 +120,7 @@ def resolve_suffix(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     clash = [c for c in right.columns if c in left.columns and c not in keys]
     l = left.select(*[F.col(c).alias(f"__l_{c}") if c in clash else F.col(c) for c in left.columns])
     r = right.select(*[F.col(c).alias(f"__r_{c}") if c in clash else F.col(c) for c in right.columns])
-    j = l.join(r, list(keys), how)
+    j = left_join_null_safe(l, r, keys, how)
     for c in clash:
         a, b = (f"__l_{c}", f"__r_{c}") if prefer == "left" else (f"__r_{c}", f"__l_{c}")
         j = j.withColumn(c, F.coalesce(F.col(a), F.col(b))).drop(f"__l_{c}", f"__r_{c}")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satlens import config as C
+from satlens.operators.joins import left_join_null_safe
 
 METRICS = ["auc", "recall", "precision", "f1", "accuracy"]
 
@@ -54,7 +55,7 @@ def binary_metrics(df: DataFrame, label: str, score: str, group: Sequence[str] =
                        f1.alias("f1"), acc.alias("accuracy"))
     a = auc(df, label, score, group)
     if group:
-        return conf.join(a, group, "left")
+        return left_join_null_safe(conf, a, group)
     return conf.withColumn("auc", a.select("auc").scalar())
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from satlens import config as C
+from satlens.operators.joins import left_join_null_safe
 
 HASH = "__h"
 RANK = "__rank"
@@ -40,7 +41,7 @@ def stratified_rank(df: DataFrame, strata: Sequence[str], key: str = C.ID, seed=
     offs = counts.withColumns({
         "__off": F.coalesce(F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         SIZE: F.sum("__c").over(Window.partitionBy(*strata))}).drop("__c")
-    t = t.join(offs, [*strata, "__b"], "inner")
+    t = left_join_null_safe(t, offs, [*strata, "__b"], "inner")
     inner = Window.partitionBy(*strata, "__b").orderBy(HASH, key)
     return t.withColumn(RANK, F.col("__off") + F.row_number().over(inner)).drop("__b", "__off")
 
@@ -78,7 +79,7 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Balanced weight per row: (largest class size) / (own class size)."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__c"))
     sizes = sizes.withColumn(out, F.max("__c").over(Window.partitionBy()) / F.col("__c")).drop("__c")
-    return df.join(sizes, label, "left")
+    return left_join_null_safe(df, sizes, [label])
 
 
 def undersample(df: DataFrame, label: str, key: str = C.ID, seed=0) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
+from satlens.operators.joins import left_join_null_safe
 _MANT = 1 << 20
 
 
@@ -62,7 +62,7 @@ def value_prefix_sums(df: DataFrame, value: Column, sums: dict[str, Column], gro
         cols = [F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"__o{i}_{n}") for n in names]
         if i == 0:  # group totals ride along with the first level (small table)
             cols += [F.sum(n).over(Window.partitionBy(*group)).alias(f"{n}_total") for n in names]
-        out = out.join(t.select(*group, *keys, *cols), group + keys, "inner")
+        out = left_join_null_safe(out, t.select(*group, *keys, *cols), group + keys, "inner")
     wf = Window.partitionBy(*group, "__k1", "__k2", "__k3").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
     below = {f"{n}_below": (F.col(f"__o0_{n}") + F.col(f"__o1_{n}") + F.col(f"__o2_{n}")
                             + F.coalesce(F.sum(n).over(wf), F.lit(0))) for n in names}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from satlens import config as C
 from satlens.operators.explain import PERIOD
+from satlens.operators.joins import left_join_null_safe
 from satlens.operators.stats import exact_quantiles
 
 PRED = "out_prob_nps"
@@ -46,7 +47,7 @@ def hash_top_n(df: DataFrame, group: Sequence[str], key: str, seed, n: int, salt
     w = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     keep = (counts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
             .filter(F.col("__off") < n).select(*group, "__b"))
-    cand = t.join(keep, [*group, "__b"], "left_semi")
+    cand = left_join_null_safe(t, keep, [*group, "__b"], "left_semi")
     rw = Window.partitionBy(*group).orderBy("__h", key)
     return cand.withColumn(rank_col, F.row_number().over(rw)).filter(F.col(rank_col) <= n).drop("__b")
 
@@ -86,7 +87,7 @@ def trust_verdict(bars: DataFrame, adjusted: DataFrame | None = None, segment: S
     if adjusted is not None:
         ind = (adjusted.groupBy(PERIOD, *segment)
                .agg(F.max((F.col("method_used") == "indirect").cast("int")).alias("__ind")))
-        b = b.join(ind, [PERIOD, *segment], "left")
+        b = left_join_null_safe(b, ind, [PERIOD, *segment])
     else:
         b = b.withColumn("__ind", F.lit(0))
     q = exact_quantiles(bars, "total_error_pct", list(quantiles))
@@ -104,11 +105,12 @@ def trust_verdict(bars: DataFrame, adjusted: DataFrame | None = None, segment: S
 def sample_uncertainty(scored: DataFrame, n_samples: int = 10, sample_size: int = 100, seed: int = 42,
                        key: str = C.ID, pred: str = PRED, unc: str = UNC, quadratic: bool = False) -> DataFrame:
     """k random samples of n rows: mean prediction, mean model uncertainty,
-    SEM = std(prediction, ddof 1) / sqrt(n) and total (sum, or quadratic)."""
+    SEM = std(prediction, ddof 1) / sqrt(rows drawn) and total (sum, or quadratic).
+    A sample of a table with fewer rows than asked holds them all (column n)."""
     s = F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1)))
     t = scored.select(key, pred, unc, s.alias("sample"))
     t = hash_top_n(t, ["sample"], key, seed, sample_size, salt=F.col("sample"))
-    sem = F.stddev_samp(pred) / F.sqrt(F.lit(float(sample_size)))
+    sem = F.stddev_samp(pred) / F.sqrt(F.count(pred))
     out = t.groupBy("sample").agg(F.count(F.lit(1)).alias("n"), F.avg(pred).alias("mean_prediction"),
                                   F.avg(unc).alias("model_uncertainty"), sem.alias("sem"))
     total = (F.sqrt(F.col("model_uncertainty") ** 2 + F.col("sem") ** 2) if quadratic
@@ -124,7 +126,8 @@ def uncertainty_curve(scored: DataFrame, sizes: Sequence[int] = tuple(range(100,
     max(sizes) rows of each order are kept (per-task top-n) and running sums
     over them give every size at once.  Averaged over iterations per size:
     mean prediction, model uncertainty, SEM, total = sqrt(model^2 + SEM^2),
-    NPS (fraction) and relative uncertainty."""
+    NPS (fraction) and relative uncertainty.  Every size has a row; a size above
+    the table's row count has NULL statistics and ``n_rows``, the rows there are."""
     m = max(sizes)
     it = F.explode(F.sequence(F.lit(0), F.lit(n_iterations - 1)))
     t = scored.select(key, pred, unc, score, it.alias("iteration"))
@@ -148,4 +151,8 @@ def uncertainty_curve(scored: DataFrame, sizes: Sequence[int] = tuple(range(100,
     out = per.groupBy("sample_size").agg(
         F.avg("mean_prediction").alias("mean_prediction"), F.avg("model_uncertainty").alias("model_uncertainty"),
         F.avg("sem").alias("sem"), F.avg("total_uncertainty").alias("total_uncertainty"), F.avg("nps").alias("nps"))
-    return out.withColumn("rel_uncertainty", F.col("total_uncertainty") / F.col("mean_prediction"))
+    out = out.withColumn("rel_uncertainty", F.col("total_uncertainty") / F.col("mean_prediction"))
+    rows = scored.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    asked = (scored.sparkSession.range(1).select(F.explode(F.lit([int(s) for s in sizes])).alias("sample_size"))
+             .withColumn("n_rows", F.least(F.col("sample_size"), rows).cast("bigint")))
+    return asked.join(out, "sample_size", "left")

@@ -362,8 +362,8 @@ def q_trust_verdict(x: Inputs):
 h AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY
         md5(CAST(respondent_id AS VARCHAR) || '-42-' || CAST(sample AS VARCHAR)), respondent_id) AS rn FROM s)
 SELECT sample, count(*) AS n, round(avg(out_prob_nps), 6) AS mean_prediction,
-  round(avg(uncertainty_nps), 6) AS model_uncertainty, round(stddev_samp(out_prob_nps) / sqrt(100), 6) AS sem,
-  round(avg(uncertainty_nps) + stddev_samp(out_prob_nps) / sqrt(100), 6) AS total_uncertainty
+  round(avg(uncertainty_nps), 6) AS model_uncertainty, round(stddev_samp(out_prob_nps) / sqrt(count(out_prob_nps)), 6) AS sem,
+  round(avg(uncertainty_nps) + stddev_samp(out_prob_nps) / sqrt(count(out_prob_nps)), 6) AS total_uncertainty
 FROM h WHERE rn <= 100 GROUP BY sample""")
 def q_sample_uncertainty(x: Inputs):
     return rounded(U.sample_uncertainty(x.scored, 10, 100, seed=42))
@@ -377,10 +377,10 @@ per AS (SELECT sample_size, avg(out_prob_nps) AS mean_prediction, avg(uncertaint
   stddev_samp(out_prob_nps) / sqrt(count(*)) AS sem,
   (count_if(nps_100 > 8) - count_if(nps_100 <= 6)) / nullif(count(nps_100), 0)::DOUBLE AS nps
   FROM sizes JOIN h ON h.rn <= sizes.sample_size GROUP BY sample_size HAVING count(*) = sample_size)
-SELECT sample_size, round(mean_prediction, 6) AS mean_prediction, round(model_uncertainty, 6) AS model_uncertainty,
+SELECT sizes.sample_size, least(sizes.sample_size, (SELECT count(*) FROM h)) AS n_rows, round(mean_prediction, 6) AS mean_prediction, round(model_uncertainty, 6) AS model_uncertainty,
   round(sem, 6) AS sem, round(sqrt(model_uncertainty * model_uncertainty + sem * sem), 6) AS total_uncertainty,
   round(nps, 6) AS nps, round(sqrt(model_uncertainty * model_uncertainty + sem * sem) / mean_prediction, 6) AS rel_uncertainty
-FROM per""")
+FROM sizes LEFT JOIN per ON sizes.sample_size = per.sample_size""")
 def q_uncertainty_curve(x: Inputs):
     return rounded(U.uncertainty_curve(x.scored, n_iterations=1, seed=42))
 

@@ -57,12 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is respected as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only on a local master, where one machine is all there is, an unset setting
+    is filled with a scratch folder; on a cluster executors could not see it.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="satlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc.getCheckpointDir() is None:
