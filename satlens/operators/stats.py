@@ -158,21 +158,26 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return wide.select(F.inline(rows))
 
 
-def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """describe()-like profile: rows, non-null, distinct, mean, std, min, max
-    (numeric columns as double; one aggregate)."""
+def profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """describe()-like profile: type, rows, non-null, distinct, mean, std, min,
+    max and quartiles (numeric columns as double).  The plain statistics are one
+    aggregate; distinct counts and quantiles are a scalar subquery a column, so
+    that no row is expanded once per column before a shuffle."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in columns:
-        aggs += [F.count(c).alias(f"n_{c}"), F.count_distinct(c).alias(f"d_{c}"),
-                 F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}"),
+        aggs += [F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"std_{c}"),
                  F.min(c).cast("double").alias(f"min_{c}"), F.max(c).cast("double").alias(f"max_{c}")]
     wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("n_rows"),
-                              F.col(f"n_{c}").alias("n_non_null"), F.col(f"d_{c}").alias("n_distinct"),
-                              F.col(f"mean_{c}").alias("mean"), F.col(f"std_{c}").alias("std"),
-                              F.col(f"min_{c}").alias("min"), F.col(f"max_{c}").alias("max"))
-                     for c in columns])
-    return wide.select(F.inline(rows))
+    names = [f"q_{_pct(float(p))}" for p in probs]
+    rows = []
+    for c in columns:
+        distinct = df.select(F.col(c)).agg(F.count_distinct(c).alias("d")).select("d").scalar()
+        at = exact_quantiles(df, c, list(probs)).select(F.struct(*names)).scalar()
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
+                             F.col("__rows").alias("n_rows"), F.col(f"n_{c}").alias("n_non_null"), distinct.alias("n_distinct"),
+                             F.col(f"mean_{c}").alias("mean"), F.col(f"std_{c}").alias("std"),
+                             F.col(f"min_{c}").alias("min"), F.col(f"max_{c}").alias("max"), *(at.getField(n).alias(n) for n in names)))
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:

@@ -57,8 +57,8 @@ def confidence_tier(scored: DataFrame, column: str = UNC, quantiles=C.TIER_QUANT
     """High below the first quantile of uncertainty, Medium below the second,
     else Low; exact quantiles are scalar subqueries (computed once)."""
     q = exact_quantiles(scored, column, list(quantiles))
-    names = q.columns
-    q1, q2 = q.select(names[0]).scalar(), q.select(names[1]).scalar()
+    both = q.select(F.struct(*q.columns)).scalar()  # one subquery, read twice
+    q1, q2 = (both.getField(n) for n in q.columns)
     u = F.col(column)
     return scored.withColumn("confidence_level", F.when(u < q1, F.lit(labels[0]))
                              .when(u < q2, F.lit(labels[1])).otherwise(F.lit(labels[2])))
@@ -91,7 +91,8 @@ def trust_verdict(bars: DataFrame, adjusted: DataFrame | None = None, segment: S
     else:
         b = b.withColumn("__ind", F.lit(0))
     q = exact_quantiles(bars, "total_error_pct", list(quantiles))
-    q1, q2 = q.select(q.columns[0]).scalar(), q.select(q.columns[1]).scalar()
+    both = q.select(F.struct(*q.columns)).scalar()
+    q1, q2 = (both.getField(n) for n in q.columns)
     outside = F.abs(F.col("actual") - F.col("prediction_pct")) > F.col("total_error_pct")
     e = F.col("total_error_pct")
     grade = F.when(e < q1, "High").when(e < q2, "Medium").otherwise("Low")

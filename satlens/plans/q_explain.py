@@ -145,10 +145,9 @@ def q_explain_period(x: Inputs):
     return rounded(X.explain_monthly(x.scored))
 
 
-@register("explain_daily", SCORED + expl_ctes(
-    "date_flight_local", "WHERE cabin_in_surveyed_flight = 'Economy' AND haul = 'SH'") + f"SELECT {_EXPL_COLS} FROM expl")
+@register("explain_daily", SCORED + expl_ctes("date_flight_local") + f"SELECT {_EXPL_COLS} FROM expl")
 def q_explain_daily(x: Inputs):
-    return rounded(X.explain_daily(clean.filter_segment(x.scored, "Economy", "SH")))
+    return rounded(X.explain_daily(x.scored))
 
 
 @register("explanation_wide", EXPL_M + f"""
@@ -392,18 +391,16 @@ def q_explain_period_halfopen(x: Inputs):
     return rounded(X.explain_monthly(x.scored, closed="left"))
 
 
-@register("explain_daily_calendar", SCORED + expl_ctes(
-    "date_flight_local", "WHERE cabin_in_surveyed_flight = 'Economy' AND haul = 'SH'") + f"""
+@register("explain_daily_calendar", SCORED + expl_ctes("date_flight_local") + f"""
 , seg AS (SELECT DISTINCT cabin_in_surveyed_flight, haul FROM expl),
 cal AS (SELECT CAST(d AS DATE) AS period, cabin_in_surveyed_flight, haul, f.feature, f.position
-        FROM seg, range(DATE '2000-01-01', DATE '2000-12-31' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d),
+        FROM seg, range(DATE '1996-01-01', DATE '2001-12-31' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d),
         (VALUES {', '.join(f"('{f}', {i})" for i, f in enumerate(C.FEATURES))}) f(feature, position))
 SELECT cal.period, cal.cabin_in_surveyed_flight, cal.haul, cal.feature, cal.position,
   round(e.value, 6) AS value, round(e.data, 6) AS data, round(e.base_value, 6) AS base_value,
   round(e.prediction_frac, 6) AS prediction_frac, round(e.prediction_pct, 6) AS prediction_pct, e.n_rows
-FROM cal LEFT JOIN expl e ON cal.period = e.period AND cal.cabin_in_surveyed_flight = e.cabin_in_surveyed_flight
-  AND cal.haul = e.haul AND cal.feature = e.feature AND cal.position = e.position""")
+FROM cal LEFT JOIN expl e ON cal.period = e.period AND cal.cabin_in_surveyed_flight IS NOT DISTINCT FROM e.cabin_in_surveyed_flight
+  AND cal.haul IS NOT DISTINCT FROM e.haul AND cal.feature = e.feature AND cal.position = e.position""")
 def q_explain_daily_calendar(x: Inputs):
-    """Every day of 2000 for the Economy / short-haul segment; empty days are NULL rows."""
-    e = X.explain_daily(clean.filter_segment(x.scored, "Economy", "SH"))
-    return rounded(X.calendar_fill(e, dt.date(2000, 1, 1), dt.date(2000, 12, 31)))
+    """Every day from 1996 to 2001 for every segment; empty days are NULL rows."""
+    return rounded(X.calendar_fill(X.explain_daily(x.scored), dt.date(1996, 1, 1), dt.date(2001, 12, 31)))

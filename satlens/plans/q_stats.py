@@ -165,15 +165,17 @@ def q_corr_topk(x: Inputs):
     return rounded(stats.corr_topk(x.model_input, _CORR_COLS, 5))
 
 
-_PROF = ["ticket_price", "load_factor", "nps_100", "ifl_600_wifi"]
+_PROF = {"ticket_price": "double", "load_factor": "double", "nps_100": "int", "ifl_600_wifi": "int"}
 
 
 @register("profile", MODEL + "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_non_null, count(DISTINCT {c}) AS n_distinct, "
+    f"SELECT '{c}' AS column_name, '{t}' AS dtype, count(*) AS n_rows, count({c}) AS n_non_null, count(DISTINCT {c}) AS n_distinct, "
     f"round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(CAST(min({c}) AS DOUBLE), 6) AS min, "
-    f"round(CAST(max({c}) AS DOUBLE), 6) AS max FROM model_input" for c in _PROF))
+    f"round(CAST(max({c}) AS DOUBLE), 6) AS max, "
+    + ", ".join(f"round(quantile_cont(CAST({c} AS DOUBLE), {p / 100}), 6) AS q_{p}" for p in (25, 50, 75))
+    + " FROM model_input" for c, t in _PROF.items()))
 def q_profile(x: Inputs):
-    return rounded(stats.profile(x.model_input, _PROF))
+    return rounded(stats.profile(x.model_input, list(_PROF)))
 
 
 _NC = ["delay", "ticket_price", "ifl_600_wifi", "monthly_weight", "invitegroup_ib"]
@@ -277,45 +279,26 @@ def q_join_segments(x: Inputs):
                                               r6(F.sum("out_prob_nps")).alias("out_prob_nps_sum"))
 
 
-_W1 = "l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'"
-_W2 = "l_shipdate >= TIMESTAMP '1996-07-01' AND l_shipdate < TIMESTAMP '1997-07-01'"
-
-
-def _windows(x: Inputs):
-    li = x.table("lineitem")
-    ts = lambda s: F.lit(s).cast("timestamp_ntz")  # noqa: E731  (wall-clock, session-TZ independent)
-    a = li.filter((F.col("l_shipdate") >= ts("1996-01-01 00:00:00")) & (F.col("l_shipdate") < ts("1997-01-01 00:00:00")))
-    b = li.filter((F.col("l_shipdate") >= ts("1996-07-01 00:00:00")) & (F.col("l_shipdate") < ts("1997-07-01 00:00:00")))
-    return a, b
-
-
-@register("join_audit", f"""
-WITH a AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE {_W1}),
-b AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE {_W2}),
-ca AS (SELECT l_orderkey, l_linenumber, count(*) AS nl FROM a GROUP BY ALL),
-cb AS (SELECT l_orderkey, l_linenumber, count(*) AS nr FROM b GROUP BY ALL),
-j AS (SELECT nl, nr FROM ca FULL OUTER JOIN cb ON ca.l_orderkey = cb.l_orderkey AND ca.l_linenumber = cb.l_linenumber)
+@register("join_audit", """
+WITH a AS (SELECT p_partkey AS k, count(*) AS nl FROM part GROUP BY ALL),
+b AS (SELECT l_suppkey AS k, count(*) AS nr FROM lineitem GROUP BY ALL),
+j AS (SELECT nl, nr FROM a FULL OUTER JOIN b ON a.k = b.k)
 SELECT CASE WHEN nl IS NOT NULL AND nr IS NOT NULL THEN 'both' WHEN nl IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS merge_side,
   CAST(sum(CASE WHEN nl IS NOT NULL AND nr IS NOT NULL THEN nl * nr ELSE coalesce(nl, nr) END) AS BIGINT) AS n_rows,
   count(*) AS n_keys
 FROM j GROUP BY ALL""")
 def q_join_audit(x: Inputs):
-    a, b = _windows(x)
-    k = ["l_orderkey", "l_linenumber"]
-    return joins.join_audit(a.select(*k), b.select(*k), k)
+    """Two whole key columns that overlap in part."""
+    return joins.join_audit(x.table("part").select(F.col("p_partkey").alias("k")),
+                            x.table("lineitem").select(F.col("l_suppkey").alias("k")), ["k"])
 
 
-@register("key_overlap", f"""
-WITH a AS (SELECT DISTINCT o_custkey FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE {_W1}),
-b AS (SELECT DISTINCT o_custkey FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE {_W2})
-SELECT (SELECT count(*) FROM a) AS n_left, (SELECT count(*) FROM b) AS n_right,
-  (SELECT count(*) FROM (SELECT * FROM a INTERSECT SELECT * FROM b)) AS n_both""")
+@register("key_overlap", """
+SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS n_left, (SELECT count(DISTINCT o_custkey) FROM orders) AS n_right,
+  (SELECT count(*) FROM (SELECT c_custkey FROM customer INTERSECT SELECT o_custkey FROM orders)) AS n_both""")
 def q_key_overlap(x: Inputs):
-    a, b = _windows(x)
-    od = x.table("orders").select("o_orderkey", "o_custkey")
-    ka = a.join(od, a.l_orderkey == od.o_orderkey).select("o_custkey")
-    kb = b.join(od, b.l_orderkey == od.o_orderkey).select("o_custkey")
-    return joins.key_overlap(ka, kb, ["o_custkey"])
+    return joins.key_overlap(x.table("customer").select(F.col("c_custkey").alias("k")),
+                             x.table("orders").select(F.col("o_custkey").alias("k")), ["k"])
 
 
 @register("snapshot_diff", BASE + """
@@ -402,11 +385,8 @@ def q_key_intersect(x: Inputs):
             .intersect(s.filter(F.col(C.HAUL) == "SH").select(C.FLIGHT)))
 
 
-@register("except_rows", BASE + """
-SELECT respondent_id FROM survey WHERE date_flight_local < DATE '1997-01-01'
-EXCEPT ALL
-SELECT respondent_id FROM survey WHERE date_flight_local < DATE '1996-12-01'""")
+@register("except_rows", MODEL + """
+SELECT respondent_id FROM survey EXCEPT ALL SELECT respondent_id FROM model_input""")
 def q_except_rows(x: Inputs):
-    s = x.survey
-    return (s.filter(F.col(C.DATE) < F.lit(dt.date(1997, 1, 1))).select(C.ID)
-            .exceptAll(s.filter(F.col(C.DATE) < F.lit(dt.date(1996, 12, 1))).select(C.ID)))
+    """Respondents of the whole survey that the cleaning drops."""
+    return x.survey.select(C.ID).exceptAll(x.model_input.select(C.ID))
