@@ -20,7 +20,7 @@ probability is 0 and nothing is toxic.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
@@ -39,7 +39,7 @@ DEGRADING = ("worthless", "pathetic", "disgusting", "stupid")
 class Settings:
     max_labelled: int = 20_000
     folds: int = 3
-    vocabulary: int = 1 << 16
+    vocabulary: int = 1 << 15
     min_documents: int = 3
     iterations: int = 25
     penalty: float = 3e-3
@@ -112,25 +112,19 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
         return chain
     marks = {f"_y{k}": c.cast("double") for k, c in enumerate(categories.values())}
     train = materialize(chain.words.transform(rows.withColumn("words", F.col("_tokens"))).withColumns(marks)
-                        .select("_words", "fold", *marks).coalesce(4), "toxicity-train").cache()
+                        .select("_words", "fold", *marks).coalesce(4), "toxicity-train")
 
     def fitted(df: DataFrame, k: int) -> LogisticRegressionModel:
         return LogisticRegression(featuresCol="_in", labelCol=f"_y{k}", maxIter=settings.iterations,
                                   regParam=settings.penalty, elasticNetParam=settings.lasso).fit(chain._inputs(df, k))
 
     for k in range(len(categories)):
-        with ThreadPool(settings.folds + 1) as pool:
-            held_out = pool.map_async(lambda f: chain._linked(fitted(train.where(F.col("fold") != f), k),
-                                                              train.where(F.col("fold") == f), k), range(settings.folds))
-            chain.links.append(fitted(train, k))
-            out = held_out.get()
-        last, train = train, out[0]
-        for part in out[1:]:
-            train = train.unionByName(part)
-        train = materialize(train.coalesce(4), f"toxicity-link{k}").cache()  # _p0 .. _pk are out-of-fold
-        last.unpersist()
+        # one fit at a time: side by side they would hold the driver's memory several times
+        chain.links.append(fitted(train, k))
+        held_out = [chain._linked(fitted(train.where(F.col("fold") != f), k), train.where(F.col("fold") == f), k)
+                    for f in range(settings.folds)]
+        train = materialize(reduce(DataFrame.unionByName, held_out).coalesce(4), f"toxicity-link{k}")  # _p0 .. _pk are out-of-fold
     chain.threshold = best_threshold(train, f"_p{k}", f"_y{k}")
-    train.unpersist()
     return chain
 
 
