@@ -100,6 +100,20 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_surrogate.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
 
 
-@query("op2_ngram_jaccard_join")
+@query("op2_ngram_jaccard_join", r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS g
+    FROM d),
+n AS (SELECT doc_id, len(g) AS n FROM s),
+e AS (SELECT doc_id, unnest(g) AS g FROM s),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * o >= 85 * (nx.n + ny.n - o)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.doc_id, b.y FROM reach JOIN both_ways b ON reach.r = b.x)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r) AS component_id FROM n JOIN reach ON n.doc_id = reach.doc_id GROUP BY ALL""")
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"), width=4, percent=85)
