@@ -95,19 +95,25 @@ def metrics_long(wide: DataFrame, keys: Sequence[str], metrics: Sequence[str] =
 def champion_gate(new: DataFrame, old: DataFrame | None,
                   compare: Mapping[str, float] = C.GATE_COMPARE,
                   floors: Mapping[str, float] = C.GATE_FLOORS, max_gap: float = C.GATE_MAX_GAP,
-                  max_train: float = C.GATE_MAX_TRAIN, model_col: str = "model") -> DataFrame:
+                  max_train: float = C.GATE_MAX_TRAIN, model_col: str = "model",
+                  n_features: int | None = None, champion_features: int | None = None) -> DataFrame:
     """Deploy decision per model from long metrics (model, dataset, metric, value).
 
+    Without a champion (a first run), or when the champion was fitted on another
+    number of features, the new model is deployed unchecked; ``reason`` says so.
+
     Rules: on test, each compared metric improves on the champion's test value
     by at least its minimum gain; every other floored metric reaches its floor;
     |train - test| <= max_gap for every metric; train <= max_train.  Returns one
     row per model with ``deploy`` and the list of failed rules."""
+    other_features = None not in (n_features, champion_features) and n_features != champion_features
+    if old is None or other_features:
+        why = "first run" if old is None else f"features: {champion_features} -> {n_features}"
+        return new.select(model_col).distinct().select(model_col, F.array().cast("array<string>").alias("failed_rules"),
+                                                       F.lit(True).alias("deploy"), F.lit(why).alias("reason"))
     n = new.groupBy(model_col, "metric").pivot("dataset", ["train", "test"]).agg(F.first("value"))
-    if old is not None:
-        o = old.filter(F.col("dataset") == "test").select(model_col, "metric", F.col("value").alias("champion"))
-        n = n.join(o, [model_col, "metric"], "left")
-    else:
-        n = n.withColumn("champion", F.lit(None).cast("double"))
+    o = old.filter(F.col("dataset") == "test").select(model_col, "metric", F.col("value").alias("champion"))
+    n = n.join(o, [model_col, "metric"], "left")
     gain = F.create_map(*[x for k, v in compare.items() for x in (F.lit(k), F.lit(float(v)))]) if compare else None
     floor = F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(float(v)))])
     m = F.col("metric")
@@ -121,4 +127,10 @@ def champion_gate(new: DataFrame, old: DataFrame | None,
         F.when(F.col("train") > max_train, F.concat(m, F.lit(": train too high")))))
     per = n.withColumn("failed", rules)
     out = per.groupBy(model_col).agg(F.flatten(F.collect_list("failed")).alias("failed_rules"))
-    return out.withColumn("deploy", F.size("failed_rules") == 0).withColumn("failed_rules", F.array_sort("failed_rules"))
+    return out.select(model_col, F.array_sort("failed_rules").alias("failed_rules"),
+                      (F.size("failed_rules") == 0).alias("deploy"), F.lit("rules").alias("reason"))
+
+
+def rejected_metrics(new: DataFrame, decision: DataFrame, model_col: str = "model") -> DataFrame:
+    """The metrics of models that the gate turned down, for the not-deployed sink."""
+    return new.join(decision.where("not deploy").select(model_col), model_col, "left_semi")

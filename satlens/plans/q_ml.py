@@ -101,20 +101,20 @@ def q_score_quarters(x: Inputs):
 
 @register("cv_scores")
 def q_cv_scores(x: Inputs):
-    d = SP.kfold_ids(x.model_input, 3, [C.PROMOTER], seed=1)
-    return rounded(models.cv_scores(d, C.FEATURES, C.PROMOTER, k=3, params=QUERY_GBT))
+    d = SP.kfold_ids(x.model_input, 5, [C.PROMOTER], seed=1)
+    return rounded(models.cv_scores(d, C.FEATURES, C.PROMOTER, k=5, params=QUERY_GBT))
 
 
 @register("param_search")
 def q_param_search(x: Inputs):
-    d = SP.kfold_ids(x.model_input, 3, [C.PROMOTER], seed=1)
+    d = SP.kfold_ids(x.model_input, 5, [C.PROMOTER], seed=1)
     cvm, names = models.param_search(d, C.FEATURES, C.PROMOTER, grid={"maxDepth": [2, 3], "stepSize": [0.1, 0.3]},
                                      parallelism=4)
     maps = cvm.getEstimatorParamMaps()
     rows = [(i, *[float(pm[cvm.getEstimator().getParam(n)]) for n in names], float(m))
             for i, (pm, m) in enumerate(zip(maps, cvm.avgMetrics))]
     grid = x.spark.createDataFrame(rows, ["grid_point", *names, "cv_auc"])
-    # Score the refitted best model on all rows, so the output grows with the data.
+    # One row a grid point; the refitted best model is scored on all rows.
     best = cvm.bestModel
     sc = models.probability(models.assemble(x.model_input, C.FEATURES), best, "__p")
     auc = M.auc(sc, C.PROMOTER, "__p").select("auc").scalar()
@@ -146,17 +146,19 @@ def q_model_roundtrip(x: Inputs):
 
 @register("model_asof")
 def q_model_asof(x: Inputs):
-    """Versioned model folders by date; pick the latest version <= as-of and score."""
+    """Versioned model folders by date, neighbours with different models; pick the
+    latest version <= as-of and score it beside the model that was stored then."""
     from pyspark.ml.classification import GBTClassificationModel
     from satlens.sources.models_store import latest_version, save_version
     _pair(x)
     root = scratch_path(x.spark, f"models/{uuid.uuid4().hex}")
-    for d in ("2000-01-01", "2000-06-01", "2001-01-01"):
-        save_version(x._models[C.PROMOTER], root, "promoter", d)
+    for d, label in (("2000-01-01", C.DETRACTOR), ("2000-06-01", C.PROMOTER), ("2001-01-01", C.DETRACTOR)):
+        save_version(x._models[label], root, "promoter", d)
     v = latest_version(x.spark, root, "promoter", "2000-12-31")
     m = GBTClassificationModel.load(os.path.join(root, "promoter", v))
     a = models.assemble(x.model_input.select(C.ID, *C.FEATURES), C.FEATURES)
-    return rounded(models.probability(a, m, "p").select(C.ID, F.lit(v).alias("model_version"), "p"))
+    scored = models.probability(models.probability(a, m, "p"), x._models[C.PROMOTER], "p_stored")
+    return rounded(scored.select(C.ID, F.lit(v).alias("model_version"), "p", "p_stored"))
 
 
 @register("impute_gbt")
