@@ -55,6 +55,9 @@ _CARD = PATTERNS["card"].replace(r"([ -]?)", "(?<gap>[ -]?)").replace(r"\1", r"\
 #: All of them; nothing but a digit, a @ or a capital begins one, so that most places fail at once.
 ANY = "|".join(f"(?:{_CARD if k == 'card' else p})" for k, p in PATTERNS.items())
 
+#: Whether a text can have an entity at all; names are only tried where a word begins with a capital.
+MAY_HAVE = rf"[0-9@]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_NAMES}|{'|'.join(ADDRESS)})(?!\p{{L}})"
+
 LATIN_LOWER = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC_LOWER = "абвгдежзиклмнопрстуфхцшэюя"
 
@@ -169,7 +172,7 @@ def surrogates(entities: DataFrame, key: str, most_rounds: int = 100) -> DataFra
 def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     """``docs`` with every entity of ``text_col`` replaced; all columns and rows are kept."""
     text = F.col(text_col)
-    has = F.coalesce(text.rlike(r"[0-9@]|(?:" + "|".join([*(n for g in GIVEN.values() for n in g), *ADDRESS]) + ")"), F.lit(False))
+    has = F.coalesce(text.rlike(MAY_HAVE), F.lit(False))
     found = docs.where(has).select(text.alias("_text")).withColumn("_found", F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)))
     each = (found.where(F.size("_found") > 0)
             .select(F.sha2("_text", 256).alias("sha"), F.posexplode("_found").alias("pos", "value"))
