@@ -27,12 +27,17 @@ from satlens.session import scratch_path
 QUERY_GBT = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.2, "seed": 0}
 
 
+#: (application, input folder) -> the fitted pair and its trees: model metadata, fitted once an application.
+_FITTED: dict[tuple[str, str], tuple[dict, dict]] = {}
+
+
 def _pair(x: Inputs):
-    if not hasattr(x, "_pair"):
+    key = (x.spark.sparkContext.applicationId, x.sf_dir)
+    if key not in _FITTED:
         fitted = models.train_pair(x.model_input, params=QUERY_GBT)
-        x._pair = {lab: TR.read_trees(x.spark, m) for lab, m in fitted.items()}
-        x._models = fitted
-    return x._pair
+        _FITTED[key] = fitted, {lab: TR.read_trees(x.spark, m) for lab, m in fitted.items()}
+    x._models, pair = _FITTED[key]
+    return pair
 
 
 @register("train_pair")

@@ -3,10 +3,12 @@ oracle SQL, kept side by side so the two cannot drift apart unnoticed."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ class Query:
 
 
 QUERIES: dict[str, Query] = {}
+#: (application, input folder, time zone, step) -> the folder of the step's table.
+_STEPS: dict[tuple[str, str, str, str], str] = {}
 
 
 def register(name: str, sql: str | None = None, note: str = ""):
@@ -55,8 +59,6 @@ class Inputs:
     def _persisted(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
-        import uuid
-
         from satlens.session import scratch_path
         path = scratch_path(self.spark, f"tables/{name}-{uuid.uuid4().hex}")
         df.write.mode("overwrite").parquet(path)
@@ -76,12 +78,30 @@ class Inputs:
     @cached_property
     def model_input(self) -> DataFrame:
         from satlens.plans.etl import model_input
-        return self._persisted(model_input(self.survey, self.load_factor), "model_input")
+        return self._step("model_input", lambda: model_input(self.survey, self.load_factor))
 
     @cached_property
     def scored(self) -> DataFrame:
         from satlens.plans.scoring import linear_scored
-        return self._persisted(linear_scored(self.model_input), "scored")
+        return self._step("scored", lambda: linear_scored(self.model_input))
+
+    def _step(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """The step's table, written by the first query of the application that needs it and read by all.
+
+        Keyed by input folder and time zone; a table that is gone is written again."""
+        if not self.materialize:
+            return build()
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.spark.conf.get("spark.sql.session.timeZone"), name)
+        if key in _STEPS:
+            try:
+                return self.spark.read.parquet(_STEPS[key])
+            except AnalysisException:  # its folder was removed
+                del _STEPS[key]
+        from satlens.session import scratch_path
+        path = scratch_path(self.spark, f"tables/{name}-{uuid.uuid4().hex}")
+        build().write.parquet(path)
+        _STEPS[key] = path
+        return self.spark.read.parquet(path)
 
 
 def r6(c) -> Column:
