@@ -48,15 +48,15 @@ PATTERNS = {
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}])",
-    "given": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{_NAMES})(?!\p{{L}})",
-    "surname": rf"(?<=(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})\.? )(?=\p{{Lu}})\p{{Lu}}\p{{Ll}}+(?:-\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})",
+    "given": rf"(?=[A-ZА-Я])(?<!\p{{L}})(?:{_NAMES})(?!\p{{L}})",
+    "surname": rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})\.? )\p{{Lu}}\p{{Ll}}+(?:-\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})",
 }
 _CARD = PATTERNS["card"].replace(r"([ -]?)", "(?<gap>[ -]?)").replace(r"\1", r"\k<gap>")
 #: All of them; nothing but a digit, a @ or a capital begins one, so that most places fail at once.
 ANY = "|".join(f"(?:{_CARD if k == 'card' else p})" for k, p in PATTERNS.items())
 
 #: Whether a text can have an entity at all; names are only tried where a word begins with a capital.
-MAY_HAVE = rf"[0-9@]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_NAMES}|{'|'.join(ADDRESS)})(?!\p{{L}})"
+MAY_HAVE = rf"[0-9@]|(?=[A-ZА-Я])(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})(?!\p{{L}})"
 
 LATIN_LOWER = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC_LOWER = "абвгдежзиклмнопрстуфхцшэюя"
