@@ -39,7 +39,7 @@ DEGRADING = ("worthless", "pathetic", "disgusting", "stupid")
 class Settings:
     max_labelled: int = 20_000
     folds: int = 3
-    vocabulary: int = 1 << 15
+    vocabulary: int = 1 << 14
     min_documents: int = 3
     iterations: int = 25
     penalty: float = 3e-3
@@ -51,6 +51,11 @@ def text_words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+"), F.lit(""))
 
 
+def bare(vector: str) -> Column:
+    """The column without its description of every word, which each plan would hold on the driver."""
+    return F.col(vector).alias(vector, metadata={})
+
+
 @dataclass
 class ToxicityChain:
     categories: list[str]
@@ -59,8 +64,10 @@ class ToxicityChain:
     threshold: float = 0.5
 
     def _inputs(self, df: DataFrame, k: int) -> DataFrame:
+        if not k:
+            return df.withColumn("_in", bare("_words"))
         earlier = [f"_p{i}" for i in range(k)]
-        return VectorAssembler(inputCols=["_words", *earlier], outputCol="_in").transform(df)
+        return VectorAssembler(inputCols=["_words", *earlier], outputCol="_in").transform(df).withColumn("_in", bare("_in"))
 
     def _linked(self, model: LogisticRegressionModel, df: DataFrame, k: int) -> DataFrame:
         model.setFeaturesCol("_in").setProbabilityCol("_prob").setRawPredictionCol("").setPredictionCol("")
@@ -72,6 +79,7 @@ class ToxicityChain:
         if self.words is None:
             return docs.withColumns({f"_p{k}": F.lit(0.0) for k in range(len(self.categories))})
         out = self.words.transform(docs.withColumn("_tokens", text_words(F.col(text_col)))).drop("_tokens")
+        out = out.withColumn("_words", bare("_words"))
         for k, model in enumerate(self.links):
             out = self._linked(model, out, k)
         return out.drop("_words")
@@ -112,7 +120,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
         return chain
     marks = {f"_y{k}": c.cast("double") for k, c in enumerate(categories.values())}
     train = materialize(chain.words.transform(rows.withColumn("words", F.col("_tokens"))).withColumns(marks)
-                        .select("_words", "fold", *marks).coalesce(4), "toxicity-train")
+                        .select(bare("_words"), "fold", *marks).coalesce(4), "toxicity-train")
 
     def fitted(df: DataFrame, k: int) -> LogisticRegressionModel:
         return LogisticRegression(featuresCol="_in", labelCol=f"_y{k}", maxIter=settings.iterations,
