@@ -23,8 +23,8 @@ from satlens.plans.registry import Inputs, register, rounded
 from satlens.plans.scoring import predict_and_explain
 from satlens.session import scratch_path
 
-# Small fits keep the correctness runs quick; production passes its own params.
-QUERY_GBT = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.2, "seed": 0}
+# As many trees as SURVEY 7.5 allows a query: the ensembles of C.ENSEMBLE_STEP hold three truncated models.
+QUERY_GBT = {"maxIter": 30, "maxDepth": 4, "stepSize": 0.2, "seed": 0}
 
 
 #: (application, input folder) -> the fitted pair and its trees: model metadata, fitted once an application.

@@ -118,3 +118,13 @@ def test_many_trees_keep_the_plan_small(spark, inputs):
     assert size(many) < 1.2 * size(few)
     r = many.agg(F.min("uncertainty_p"), F.max("mean_proba_p")).first()
     assert r[0] >= 0 and r[1] <= 1
+
+
+def test_registered_ensembles_are_uncertain(inputs):
+    """The registered pair has trees enough for several truncated models at the registered step."""
+    from satlens.plans import q_ml
+    r = q_ml.q_virtual_ensemble(inputs).agg(F.max("uncertainty_prom"), F.max("uncertainty_det"),
+                                            F.avg((F.col("uncertainty_prom") > 0).cast("int"))).first()
+    assert r[0] > 0 and r[1] > 0 and r[2] > 0.99
+    assert q_ml.q_predict_explain(inputs).agg(F.max("uncertainty_nps")).first()[0] > 0
+    assert q_ml.q_score_quarters(inputs).agg(F.min("mean_uncertainty_nps")).first()[0] > 0
