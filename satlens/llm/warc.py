@@ -38,6 +38,7 @@ DATE = "2000-01-01T00:00:00Z"  # of every record, so that reruns write equal fil
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/"
 CANDIDATE = re.compile(rb"\x1f\x8b\x08|WARC/")
+VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
 FIELDS = ("path string, kind string, start bigint, stop bigint, reason string, page_id bigint, record_type string, "
           "refers_to bigint, target_uri string, payload_bytes bigint, payload_digest string, payload binary")
 
@@ -68,21 +69,21 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
     """The record at ``at`` of uncompressed data and where it ends."""
     if data[at:at + 5] != VERSION:
         raise Damage("no version line")
-    end = data.find(b"\r\n\r\n", at, at + (1 << 16))
-    if end < 0:
-        raise Damage("no end of headers")
-    lines = data[at:end].split(b"\r\n")
-    if not re.fullmatch(rb"WARC/\d+\.\d+", lines[0]):
+    line = VERSION_LINE.match(data, at)
+    if not line:
         raise Damage("bad version line")
-    head = {}
-    for line in lines[1:]:
-        name, colon, value = line.partition(b":")
+    head, pos = {}, line.end()
+    while (end := data.find(b"\r\n", pos)) != pos:  # headers of any length; a false candidate ends at its first bad line
+        if end < 0:
+            raise Damage("no end of headers")
+        name, colon, value = data[pos:end].partition(b":")
         if not colon:
             raise Damage("bad header line")
         head[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        pos = end + 2
     if not head.get("content-length", "").isdigit():
         raise Damage("no content length")
-    start, size = end + 4, int(head["content-length"])
+    start, size = end + 2, int(head["content-length"])
     block = data[start:start + size]
     if len(block) < size or data[start + size:start + size + 4] != b"\r\n\r\n":
         raise Damage("wrong content length")

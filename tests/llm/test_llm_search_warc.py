@@ -139,3 +139,13 @@ def test_salvage_of_plain_records_and_of_one_member():
 
 def test_salvage_of_nothing():
     assert read(b"") == ([], []) and read(b"x" * 10) == ([], [(0, 10, "no version line")])
+
+
+def test_urls_of_any_length_come_back():
+    """Alone, behind damage, and as a bare record of a file without compression."""
+    url, body = "http://a.example/" + "x" * 200_000, b"page"
+    one = warc.record(5, url, body, hashlib.sha256(body).hexdigest(), len(body), None)
+    for data, gaps in ((one, 0), (b"\x1f\x8b\x08 damage WARC/1.1 WARC/1.1\r\nno header" + one, 1), (zlib.decompress(one, 31), 0)):
+        got = list(warc.salvage(data))
+        assert [(g[4]["page_id"], g[4]["target_uri"]) for g in got if g[0] == "record"] == [(5, url)]
+        assert sum(g[0] == "gap" for g in got) == gaps
