@@ -6,7 +6,7 @@ surnames after a given name or a form of address.  Each distinct entity, in a
 canonical form that its spellings share, gets one surrogate drawn from a keyed
 digest: of the same type, and of the same shape - digits for digits, letters of
 the same script and case for letters, given names of the same gender and
-script, card numbers with a valid check digit, valid addresses.  A surrogate
+script (from a pool of compounds once the listed names are used up), card numbers with a valid check digit, valid addresses.  A surrogate
 that two entities share, or that is itself an entity of the corpus, is drawn
 anew until none is left, so that different entities stay different; equal
 entities stay equal across all documents.
@@ -38,6 +38,14 @@ GIVEN = {
     ("female", "cyrillic"): ["Анна", "Екатерина", "Елена", "Ирина", "Мария", "Наталья", "Ольга", "Светлана", "Татьяна", "Юлия"],
     ("male", "cyrillic"): ["Александр", "Алексей", "Андрей", "Владимир", "Дмитрий", "Иван", "Михаил", "Николай", "Павел", "Сергей"],
 }
+# Surrogates beyond the given names, also by gender and script: stems and endings, none of them a name that is looked for.
+STEMS = {"latin": "Al Ber Cor Del Ev Fer Gil Hel Is Jor Kar Lor Mar Nor Or Per Ros Sel Tor Val Wil Ad Em Ol".split(),
+         "cyrillic": "Ал Бор Вер Гал Дар Ев Зар Ил Кир Лид Мар Нат Ол Рад Сав Тим Фед Яр Эл Свет".split()}
+ENDINGS = {("female", "latin"): "ina ella ette inda ora essa ilia ona isa iana etta ika alia ena anna ira".split(),
+           ("male", "latin"): "ard olf win mund ric us ian ando old mar ton vin ger wig helm fried".split(),
+           ("female", "cyrillic"): "ина ана ита елла ида ея ива ислава ена ора иса иля".split(),
+           ("male", "cyrillic"): "ислав имир ослав ан ей омир ий ен ур ил ентий он".split()}
+POOL = {(g, s): [a + b for a in STEMS[s] for b in ends if not any(a + b in n for n in GIVEN.values())] for (g, s), ends in ENDINGS.items()}
 ADDRESS = ["Mr", "Mrs", "Ms", "Dr", "Herr", "Frau", "Señor", "Señora", "Monsieur", "Madame"]
 
 _NAMES = "|".join(n for names in GIVEN.values() for n in names)
@@ -107,11 +115,12 @@ def drawn(type_: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a canonical form, in canonical form itself."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), type_, canon, attempt.cast("string")), 256)
 
-    def name(names: list[str]) -> Column:
-        listed = F.element_at(F.lit([n.lower() for n in names]), (F.pmod(F.xxhash64(digest), F.lit(len(names))) + 1).cast("int"))
-        return F.when(attempt < 4, listed).otherwise(shaped(canon, digest, F.lit(False)))  # the list is used up: letters of the script
+    def one_of(names: list[str]) -> Column:
+        return F.element_at(F.lit([n.lower() for n in names]), (F.pmod(F.xxhash64(digest), F.lit(len(names))) + 1).cast("int"))
 
-    given = F.coalesce(*[F.when(canon.isin([n.lower() for n in names]), name(names)) for names in GIVEN.values()])
+    # where the corpus has the listed names itself, none of them is free: then one of the pool
+    given = F.coalesce(*[F.when(canon.isin([n.lower() for n in names]), F.when(attempt < 4, one_of(names)).otherwise(one_of(POOL[k])))
+                         for k, names in GIVEN.items()])
     body = F.concat(F.substring(canon, 1, 1), shaped(F.substring(canon, 2, 14), digest, F.lit(False)))
     octet = lambda i: (F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(254)) + 1).cast("string")
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)

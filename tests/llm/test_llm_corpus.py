@@ -169,6 +169,16 @@ def test_surrogates_stay_distinct_and_depend_on_the_key(spark):
     assert out == replaced(spark, texts) and out != replaced(spark, texts, "other")
 
 
+def test_surrogates_keep_gender_and_script_where_every_name_occurs(spark):
+    kinds = {n: k for k, names in pii_surrogate.GIVEN.items() for n in names}
+    pool = pii_surrogate.POOL
+    assert all(len(p) == len(set(p)) >= 200 and not set(p) & set(kinds) for p in pool.values())
+    assert sum(map(len, pool.values())) == len({n for p in pool.values() for n in p})
+    out = replaced(spark, [f"{n} wrote" for n in kinds])
+    got = [t.removesuffix(" wrote") for t in out]
+    assert len(set(got)) == len(kinds) and all(g in pool[k] for g, k in zip(got, kinds.values()))
+
+
 def test_surrogates_keep_rows_and_columns(spark):
     rows = documents() + [(1, "call 017-555-7713", "a"), (None, "call 017-555-7713", "a")]
     before = frame(spark, rows)
