@@ -2,7 +2,9 @@
 
 Entities are e-mail addresses, phone numbers, IPv4 addresses, card numbers (with
 a valid check digit), secrets (long hexadecimal strings), given names and the
-surnames after a given name or a form of address.  Each distinct entity, in a
+surnames after a given name or a form of address, with all their mentions in
+that text.  Phone numbers have 3-3-4 digits, or 7 to 15 after a + or from a trunk
+0 on (then with separators); cards have 13 to 19 digits.  Each distinct entity, in a
 canonical form that its spellings share, gets one surrogate drawn from a keyed
 digest: of the same type, and of the same shape - digits for digits, letters of
 the same script and case for letters, given names of the same gender and
@@ -54,15 +56,22 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "ipv4": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\p{L}\p{N}])",
-    "card": r"(?<![\p{L}\p{N}])\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}])",
+    "card": r"(?<![\p{L}\p{N}])(?:\d{4}(?<gap>[ -])\d{4}\k<gap>\d{4}\k<gap>\d{4}(?:\k<gap>\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19})(?![\p{L}\p{N}])",
+    # three, three and four digits; 7 to 15 after a +; 7 to 15 from a trunk 0 on, with separators, but no dates and hours
+    "phone": (r"(?<![\p{L}\p{N}])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\p{L}\p{N}])"
+              r"|\+(?:[ ./()-]{0,2}\d){7,15}(?![\p{L}\p{N}])"
+              r"|(?<!\d[./-])(?!\d\d(?<sep>[./-])\d\d\k<sep>(?:\d{4}|\d\d)(?!\d|\k<sep>\d))(?!\d\d\.\d\d ?- ?\d\d\.\d\d(?![./-]?\d))"
+              r"(?=\(?\d{2,6}[ ./()-])\(?0{1,2}[1-9](?:[ ./()-]{0,2}\d){5,13}(?![\p{L}\p{N}]))"),
     "given": rf"(?=[A-ZА-Я])(?<!\p{{L}})(?:{_NAMES})(?!\p{{L}})",
     "surname": rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})\.? )\p{{Lu}}\p{{Ll}}+(?:-\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})",
 }
-_CARD = PATTERNS["card"].replace(r"([ -]?)", "(?<gap>[ -]?)").replace(r"\1", r"\k<gap>")
 #: All of them; nothing but a digit, a @ or a capital begins one, so that most places fail at once.
-ANY = "|".join(f"(?:{_CARD if k == 'card' else p})" for k, p in PATTERNS.items())
+ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_CARD = r"^\d{13,19}$|^\d{4}([ -])\d{4}\1\d{4}\1\d{4}(\1\d{3})?$|^\d{4}[ -]\d{6}[ -]\d{4,5}$"
+#: Country codes of E.164 have one to three digits; they and a trunk 0 with the digit after it stay as they are.
+_KEPT = r"^(?:\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})|0{1,2}[1-9])"
 
+SURNAME = r"^\p{Lu}\p{Ll}+(-\p{Lu}\p{Ll}+)?$"
 #: Whether a text can have an entity at all; names are only tried where a word begins with a capital.
 MAY_HAVE = rf"[0-9@]|(?=[A-ZА-Я])(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})(?!\p{{L}})"
 
@@ -70,13 +79,19 @@ LATIN_LOWER = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC_LOWER = "абвгдежзиклмнопрстуфхцшэюя"
 
 
+def card_number(value: Column) -> Column:
+    """The digits of a card; three digits after four groups of four may be no part of it."""
+    digits = F.regexp_replace(value, r"\D", "")
+    return (F.when(value.rlike(r"\d{4}([ -]\d{4}){3}[ -]") & ~F.call_function("luhn_check", digits), F.substring(digits, 1, 16))
+            .otherwise(digits))
+
+
 def kind(value: Column) -> Column:
     """The type of a matched value, null for a match that is no entity (a bad check digit, an octet over 255)."""
-    digits = F.regexp_replace(value, r"\D", "")
     octets = F.split(value, r"\.")
     return (F.when(value.rlike("@"), "email")
             .when(value.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), F.when(F.forall(octets, lambda o: o.cast("int") <= 255), "ipv4"))
-            .when(value.rlike(r"^\d{16}$|^\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}$"), F.when(F.call_function("luhn_check", digits), "card"))
+            .when(value.rlike(_CARD), F.when(F.call_function("luhn_check", card_number(value)), "card"))
             .when(value.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "secret")
             .when(value.rlike(r"^[+(\d]"), "phone")
             .when(value.isin([n for names in GIVEN.values() for n in names]), "given")
@@ -87,7 +102,8 @@ def canonical(type_: Column, value: Column) -> Column:
     """What the spellings of an entity share."""
     return (F.when(type_.isin("email", "secret", "given", "surname"), F.lower(value))
             .when(type_ == "ipv4", F.array_join(F.transform(F.split(value, r"\."), lambda o: o.cast("int").cast("string")), "."))
-            .otherwise(F.regexp_replace(value, r"\D", "")))
+            .when(type_ == "card", card_number(value))
+            .otherwise(F.concat(F.when(value.startswith("+"), "+").otherwise(""), F.regexp_replace(value, r"\D", ""))))
 
 
 def shaped(text: Column, digest: Column, hexadecimal: Column) -> Column:
@@ -121,7 +137,8 @@ def drawn(type_: Column, canon: Column, attempt: Column, key: str) -> Column:
     # where the corpus has the listed names itself, none of them is free: then one of the pool
     given = F.coalesce(*[F.when(canon.isin([n.lower() for n in names]), F.when(attempt < 4, one_of(names)).otherwise(one_of(POOL[k])))
                          for k, names in GIVEN.items()])
-    body = F.concat(F.substring(canon, 1, 1), shaped(F.substring(canon, 2, 14), digest, F.lit(False)))
+    body = F.concat(F.substring(canon, 1, 1), shaped(F.substring(canon, F.lit(2), F.length(canon) - 2), digest, F.lit(False)))
+    code = F.regexp_extract(canon, _KEPT, 0)
     octet = lambda i: (F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(254)) + 1).cast("string")
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     top = F.substring_index(domain, ".", -1)
@@ -130,7 +147,7 @@ def drawn(type_: Column, canon: Column, attempt: Column, key: str) -> Column:
                                               shaped(host, F.sha2(F.concat_ws("|", F.lit(key), host), 256), F.lit(False)), F.lit("."), top))
             .when(type_ == "ipv4", F.concat_ws(".", *(octet(i) for i in range(4))))
             .when(type_ == "card", F.concat(body, check_digit(body)))
-            .when(type_ == "phone", shaped(canon, digest, F.lit(False)))
+            .when(type_ == "phone", F.concat(code, shaped(F.substring(canon, F.length(code) + 1, F.length(canon)), digest, F.lit(False))))
             .when(type_ == "secret", shaped(canon, digest, F.lit(True)))
             .when(type_ == "given", given)
             .otherwise(shaped(canon, digest, F.lit(False))))
@@ -141,12 +158,10 @@ def spelled(type_: Column, value: Column, core: Column) -> Column:
     def digits(c: Column) -> Column:  # the i-th digit of the value becomes the i-th of the surrogate
         pieces = F.split(value, "")
         place = F.transform(pieces, lambda x, i: F.length(F.regexp_replace(F.substring(value, F.lit(1), i + 1), r"\D", "")))
-        return F.array_join(F.zip_with(pieces, place, lambda x, p: F.when(x.rlike("[0-9]"), F.substring(c, p, F.lit(1))).otherwise(x)), "")
+        return F.array_join(F.zip_with(pieces, place, lambda x, p: F.when(x.rlike("[0-9]") & (p <= F.length(c)), F.substring(c, p, F.lit(1))).otherwise(x)), "")
 
-    code = F.length(F.regexp_extract(value, r"^\+(\d{1,3})[ .(-]", 1))  # digits of a country code stay
-    kept = F.concat(F.substring(F.regexp_replace(value, r"\D", ""), F.lit(1), code), F.substring(core, code + 1, F.lit(40)))
     capitals = F.initcap(F.regexp_replace(core, "-", " "))
-    return (F.when(type_ == "phone", let(kept, digits)).when(type_ == "card", let(core, digits))
+    return (F.when(type_.isin("phone", "card"), let(F.regexp_replace(core, r"\+", ""), digits))
             .when((type_ == "secret") & value.rlike("[A-F]"), F.upper(core))
             .when((type_ == "email") & (value == F.upper(value)), F.upper(core))
             .when(type_.isin("given", "surname"), F.when(value.contains("-"), F.regexp_replace(capitals, " ", "-")).otherwise(capitals))
@@ -183,8 +198,14 @@ def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFra
     text = F.col(text_col)
     has = F.coalesce(text.rlike(MAY_HAVE), F.lit(False))
     found = docs.where(has).select(text.alias("_text")).withColumn("_found", F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)))
+    surnames = F.array_distinct(F.filter("_found", lambda v: v.rlike(SURNAME) & ~v.isin([n for names in GIVEN.values() for n in names])))
+    # surnames have letters and hyphens only; where the text has them alone they are the same entities
+    found = found.withColumn("_more", F.when(F.size(surnames) > 0, F.concat(F.lit(ANY + r"|(?<![\p{L}-])(?:"), F.array_join(surnames, "|"),
+                                                                            F.lit(r")(?![\p{L}]|-\p{L})"))))
+    found = found.withColumn("_found", F.when(F.col("_more").isNull(), F.col("_found"))
+                             .otherwise(F.regexp_extract_all("_text", F.col("_more"), F.lit(0))))
     each = (found.where(F.size("_found") > 0)
-            .select(F.sha2("_text", 256).alias("sha"), F.posexplode("_found").alias("pos", "value"))
+            .select(F.sha2("_text", 256).alias("sha"), "_more", F.posexplode("_found").alias("pos", "value"))
             .withColumn("type", kind(F.col("value"))).withColumn("canon", canonical(F.col("type"), F.col("value")))
             .dropDuplicates(["sha", "pos"]))
     each = materialize(each, "found")
@@ -194,8 +215,8 @@ def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFra
     new = new.withColumn("new", F.when(F.col("core").isNull(), F.col("value"))
                          .otherwise(spelled(F.col("type"), F.col("value"), F.col("core"))))
     per_text = (new.groupBy(F.col("sha").alias("_sha")).agg(F.sort_array(F.collect_list(F.struct("pos", "new"))).alias("_new"),
-                                                           F.count("core").alias("_n")).where("_n > 0"))
-    gaps = F.split(text, ANY)
+                                                           F.count("core").alias("_n"), F.max("_more").alias("_more")).where("_n > 0"))
+    gaps = F.when(F.col("_more").isNull(), F.split(text, ANY)).otherwise(F.split(text, F.col("_more")))
     rebuilt = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col("_new"), i)["new"], F.lit("")))), "")
     touched = docs.where(has).withColumn("_key", F.sha2(text, 256)).join(per_text, F.col("_key") == F.col("_sha"), "left")
     # every column may hold clashing names but ours, which begin with _

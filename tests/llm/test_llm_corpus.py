@@ -179,6 +179,24 @@ def test_surrogates_keep_gender_and_script_where_every_name_occurs(spark):
     assert len(set(got)) == len(kinds) and all(g in pool[k] for g, k in zip(got, kinds.values()))
 
 
+def test_surrogates_of_other_phones_cards_and_lone_surnames(spark):
+    phones = ["+44 20 7946 0958", "+49 30 1234567", "06 12 34 56 78", "+15551234567", "(030) 1234567", "+33 (0)6 12 34 56 78", "020/7946-0958"]
+    cards = ["378282246310005", "3782 822463 10005", "4222222222222", "4111 1111 1111 1111"]
+    plain = "on 01.02.2024, 31.01.2024 12:30 and 2024-01-02 03:04, 09.30-17.00, 0.1234567 of 012345678, ip 0.0.0"
+    name = "Anna Petrova-Lind met Mr. Smith. Smith and Petrova-Lind left; Smithson, Mc-Smith and smith stayed"
+    out = replaced(spark, [f"call {p}!" for p in phones] + [f"card {c}." for c in cards] + [plain, name, "+1 555 123 4567", "4111 1111 1111 1111 123", "Smith"])
+    for p, t in zip(phones, out):
+        assert t != f"call {p}!" and re.sub(r"\d", "9", t) == re.sub(r"\d", "9", f"call {p}!")
+    assert out[0].startswith("call +44 ") and out[2].startswith("call 06 ") and out[3].startswith("call +1")
+    number = lambda t: re.sub(r"\D", "", t)
+    got = out[7:11]
+    assert all(t != f"card {c}." and luhn(number(t)) and len(number(t)) == len(number(c)) for c, t in zip(cards, got))
+    assert number(got[0]) == number(got[1]) and out[14].startswith(number(got[3])[:4]) and number(out[14]) == number(got[3]) + "123"
+    assert out[11] == plain and number(out[13]) == number(out[3]) and out[15] == "Smith"
+    m = re.fullmatch(r"(\w+) ([\w-]+) met Mr\. (\w+)\. (\w+) and ([\w-]+) left; Smithson, Mc-Smith and smith stayed", out[12])
+    assert m and m[2] == m[5] != "Petrova-Lind" and m[3] == m[4] != "Smith"
+
+
 def test_surrogates_keep_rows_and_columns(spark):
     rows = documents() + [(1, "call 017-555-7713", "a"), (None, "call 017-555-7713", "a")]
     before = frame(spark, rows)
