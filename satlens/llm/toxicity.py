@@ -39,7 +39,7 @@ DEGRADING = ("worthless", "pathetic", "disgusting", "stupid")
 class Settings:
     max_labelled: int = 20_000
     folds: int = 3
-    vocabulary: int = 1 << 14
+    vocabulary: int = (1 << 31) - 1  # every word of at least min_documents
     min_documents: int = 3
     iterations: int = 25
     penalty: float = 3e-3
@@ -69,9 +69,9 @@ class ToxicityChain:
         earlier = [f"_p{i}" for i in range(k)]
         return VectorAssembler(inputCols=["_words", *earlier], outputCol="_in").transform(df).withColumn("_in", bare("_in"))
 
-    def _linked(self, model: LogisticRegressionModel, df: DataFrame, k: int) -> DataFrame:
+    def _linked(self, model: LogisticRegressionModel, inputs: DataFrame, k: int) -> DataFrame:
         model.setFeaturesCol("_in").setProbabilityCol("_prob").setRawPredictionCol("").setPredictionCol("")
-        return (model.transform(self._inputs(df, k)).withColumn(f"_p{k}", vector_to_array("_prob")[1])
+        return (model.transform(inputs).withColumn(f"_p{k}", vector_to_array("_prob")[1])
                 .drop("_in", "_prob"))
 
     def probabilities(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -81,7 +81,7 @@ class ToxicityChain:
         out = self.words.transform(docs.withColumn("_tokens", text_words(F.col(text_col)))).drop("_tokens")
         out = out.withColumn("_words", bare("_words"))
         for k, model in enumerate(self.links):
-            out = self._linked(model, out, k)
+            out = self._linked(model, self._inputs(out, k), k)
         return out.drop("_words")
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -124,12 +124,13 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
 
     def fitted(df: DataFrame, k: int) -> LogisticRegressionModel:
         return LogisticRegression(featuresCol="_in", labelCol=f"_y{k}", maxIter=settings.iterations,
-                                  regParam=settings.penalty, elasticNetParam=settings.lasso).fit(chain._inputs(df, k))
+                                  regParam=settings.penalty, elasticNetParam=settings.lasso).fit(df)
 
     for k in range(len(categories)):
-        # one fit at a time: side by side they would hold the driver's memory several times
-        chain.links.append(fitted(train, k))
-        held_out = [chain._linked(fitted(train.where(F.col("fold") != f), k), train.where(F.col("fold") == f), k)
+        # one fit at a time, and inputs put together once: plans that do so describe every word on the driver
+        inputs = materialize(chain._inputs(train, k), f"toxicity-inputs{k}") if k else chain._inputs(train, k)
+        chain.links.append(fitted(inputs, k))
+        held_out = [chain._linked(fitted(inputs.where(F.col("fold") != f), k), inputs.where(F.col("fold") == f), k)
                     for f in range(settings.folds)]
         train = materialize(reduce(DataFrame.unionByName, held_out).coalesce(4), f"toxicity-link{k}")  # _p0 .. _pk are out-of-fold
     chain.threshold = best_threshold(train, f"_p{k}", f"_y{k}")

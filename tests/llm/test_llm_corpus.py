@@ -283,6 +283,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert not by_id[900] and not by_id[901] and by_id[None] and by_id[902]
 
 
+def test_toxicity_keeps_every_word_of_enough_documents(spark):
+    from pyspark.sql import functions as F
+    rows, labels = labelled()
+    many = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(17_000)]
+    rows += [(1000 + i, " ".join(many), "a") for i in range(3)]
+    chain = toxicity.fit_chain(frame(spark, rows), spark.createDataFrame(labels + [(1000 + i, 0) for i in range(3)], "doc_id long, toxic int"),
+                               {"toxic": F.col("y") == 1}, toxicity.Settings(iterations=1, folds=2))
+    assert set(many) <= set(chain.words.vocabulary)
+
+
 def test_toxicity_without_labels_of_both_kinds(spark):
     rows, _ = labelled()
     for labels in ([], [(1, 0), (2, 0)]):
