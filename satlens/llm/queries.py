@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from satlens.llm import (balltree, huffman_ids, mixing, ngram_join, packing, pii_surrogate, quality_llr, token_count,
-                         toxicity, warc)
+from satlens.llm import (balltree, exact_dedup, huffman_ids, importance, mixing, ngram_join, packing, pii_surrogate, quality_llr,
+                         token_count, toxicity, warc, zone_kmeans)
 from satlens.llm.common import materialize, shared_path, table
 
 #: Key of the surrogates; production passes its own secret.
@@ -117,3 +117,47 @@ reach(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.doc_id, b.y
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r) AS component_id FROM n JOIN reach ON n.doc_id = reach.doc_id GROUP BY ALL""")
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+@query("op11_exact_dedup", """
+WITH h AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, text_sha256
+FROM h WINDOW g AS (PARTITION BY text_sha256)""")
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op12_importance_resampling")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def kmeans_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds written out one after the other; all values are integers below 2**53, so doubles are exact."""
+    out = [f"""WITH v AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+    SELECT (row_number() OVER (ORDER BY h) - 1)::INTEGER AS c, v FROM (
+        SELECT sha256('2:' || vec_id) AS h, v FROM v ORDER BY h LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        out.append(f"""a{i} AS MATERIALIZED (
+    SELECT vec_id, v, min(struct_pack(d := d, c := c)) AS m FROM (
+        SELECT vec_id, v.v, c, list_dot_product(v.v, v.v) - 2 * list_dot_product(v.v, c{i}.v) + list_dot_product(c{i}.v, c{i}.v) AS d
+        FROM v, c{i}) GROUP BY vec_id, v)""")
+        if i < rounds:
+            out.append(f"""m{i} AS (
+    SELECT c, list(x ORDER BY i) AS v FROM (
+        SELECT c, i, floor(sum(x) / count(*)) AS x FROM (SELECT m.c AS c, unnest(v) AS x, unnest(range(64)) AS i FROM a{i}) GROUP BY c, i)
+    GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return ",\n".join(out) + f"""
+SELECT vec_id, m.c AS cluster, m.d::BIGINT AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia,
+    (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(c{rounds}.v, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = m.c"""
+
+
+@query("op13_zone_map_clustering", kmeans_sql())
+def op13_zone_map_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_kmeans.cluster_report(table(spark, sf_dir, "embeddings"), k=40, rounds=5, width=64, scale=256, seed=2)
