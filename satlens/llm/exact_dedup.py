@@ -43,7 +43,8 @@ def frequent(rows: DataFrame, k: int = HEAVY, tracked: int = TRACKED) -> DataFra
     """(digest) of at most ``k`` candidates of the Misra-Gries summary."""
     summaries = (rows.select("digest", F.pmod(F.spark_partition_id(), F.lit(SUMMARIES)).alias("_part"))
                  .groupBy("_part").agg(F.expr(f"approx_top_k_accumulate(digest, {tracked})").alias("_s")))
-    merged = summaries.agg(F.expr(f"approx_top_k_combine(_s, {tracked})").alias("_s"))
+    # a group, though there is only one: without it, partitions without a summary send an empty state that cannot be merged
+    merged = summaries.groupBy(F.lit(0).alias("_all")).agg(F.expr(f"approx_top_k_combine(_s, {tracked})").alias("_s"))
     return merged.select(F.explode(F.expr(f"approx_top_k_estimate(_s, {k})")).alias("_t")).select(F.col("_t.item").alias("digest"))
 
 
@@ -54,8 +55,6 @@ def grouped(rows: DataFrame) -> DataFrame:
 
 def winners(rows: DataFrame, total: int, heavy: int = HEAVY) -> DataFrame:
     """Stored (digest, size, last) of the digests with at least total / heavy rows, by exact count."""
-    if not total:  # a summary of nothing cannot be merged
-        return grouped(rows)
     candidates = F.broadcast(frequent(rows, heavy))  # heavy rows at most
     found = grouped(rows.join(candidates, "digest", "left_semi"))
     return materialize(found.where((F.col("size") > 1) & (F.col("size") * heavy >= total)), "heavy-digests")

@@ -53,6 +53,17 @@ def test_exact_kept_rows_and_empty(spark):
     assert exact_dedup.duplicate_groups(empty).count() == 0 and exact_dedup.deduplicate(empty).count() == 0
 
 
+def test_exact_groups_where_most_partitions_hold_no_summary(spark):
+    rows = [(i, f"text {i % 40}", "a") for i in range(200)]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        got = exact_dedup.duplicate_groups(frame(spark, rows).coalesce(1)).collect()
+    finally:
+        spark.conf.unset(name)
+    assert Counter(map(tuple, got)) == brute_groups(rows)
+
+
 def test_heavy_digests_are_verified(spark):
     rows = [(i, "hot" if i % 3 == 0 else "warm" if i % 3 == 1 and i < 900 else f"cold {i}", "a") for i in range(3000)]
     stored = exact_dedup.digests(frame(spark, rows), id_col="doc_id", text_col="text")
