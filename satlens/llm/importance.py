@@ -293,7 +293,7 @@ def resample(docs: DataFrame, target: DataFrame, *, percent: int = 5, least_word
     noise = F.floor(-1000 * F.log(-F.log((h.cast("double") + 0.5) / 4294967296.0)))
     rows = (weights(docs, gains, id_col=id_col, text_col=text_col)
             .withColumns({"score": F.col("weight") + noise, "eligible": F.col("n_words") >= least_words}))
-    rows = in_order(rows)
+    rows = in_order(materialize(rows, "importance-weights"))  # stored: a range shuffle reads its input twice
     sizes = rows.groupBy("part").agg(F.count("*").alias("n"), F.count_if("eligible").alias("e")).orderBy("part").collect()  # a row a partition
     drawn = percent * sum(r["e"] for r in sizes) // 100
     before, offsets = 0, []
