@@ -11,7 +11,8 @@ the same script and case for letters, given names of the same gender and
 script (from a pool of compounds once the listed names are used up), card numbers with a valid check digit, valid addresses.  A surrogate
 that two entities share, or that is itself an entity of the corpus, is drawn
 anew until none is left, so that different entities stay different; equal
-entities stay equal across all documents.
+entities stay equal across all documents.  From the fifth draw on, surnames, local
+parts and phone numbers get longer, so that draws end though all forms of a length occur.
 
 Entities are counted per distinct text and joined by value; a text is rebuilt
 from the gaps between its entities.  Texts without entities are passed on as
@@ -51,9 +52,10 @@ POOL = {(g, s): [a + b for a in STEMS[s] for b in ends if not any(a + b in n for
 ADDRESS = ["Mr", "Mrs", "Ms", "Dr", "Herr", "Frau", "Señor", "Señora", "Monsieur", "Madame"]
 
 _NAMES = "|".join(n for names in GIVEN.values() for n in names)
-#: type -> pattern; the first that matches a value wins.
+#: type -> pattern; the first that matches a value wins.  Repeated groups are bounded (a domain has 127 labels at most), as
+#: Java walks them by recursion; only single characters repeat without bound.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,125}\.\p{L}{2,}",
     "ipv4": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}])(?:\d{4}(?<gap>[ -])\d{4}\k<gap>\d{4}\k<gap>\d{4}(?:\k<gap>\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19})(?![\p{L}\p{N}])",
@@ -108,16 +110,17 @@ def canonical(type_: Column, value: Column) -> Column:
 
 def shaped(text: Column, digest: Column, hexadecimal: Column) -> Column:
     """Every digit, letter of a script and case by another of its kind, drawn from the digest."""
-    def pick(alphabet: str, i: Column) -> Column:
-        return F.substring(F.lit(alphabet), (F.pmod(F.xxhash64(digest, i), F.lit(len(alphabet))) + 1).cast("int"), F.lit(1))
-
-    def one(c: Column, i: Column) -> Column:
-        return (F.when(hexadecimal & c.rlike("[0-9a-f]"), pick("0123456789abcdef", i))
-                .when(c.rlike("[0-9]"), pick("0123456789", i))
-                .when(c.rlike("[а-яё]"), pick(CYRILLIC_LOWER, i))
-                .when(c.rlike(r"\p{Ll}"), pick(LATIN_LOWER, i))
+    def pick(alphabet: str, d: Column, i: Column) -> Column:
+        return F.substring(F.lit(alphabet), (F.pmod(F.xxhash64(d, i), F.lit(len(alphabet))) + 1).cast("int"), F.lit(1))
+
+    def one(c: Column, i: Column, d: Column) -> Column:
+        return (F.when(hexadecimal & c.rlike("[0-9a-f]"), pick("0123456789abcdef", d, i))
+                .when(c.rlike("[0-9]"), pick("0123456789", d, i))
+                .when(c.rlike("[а-яё]"), pick(CYRILLIC_LOWER, d, i))
+                .when(c.rlike(r"\p{Ll}"), pick(LATIN_LOWER, d, i))
                 .otherwise(c))
-    return F.array_join(F.transform(F.split(text, ""), one), "")
+    # the digest of a form is worked out once, not once a character
+    return let(digest, lambda d: F.array_join(F.transform(F.split(text, ""), lambda c, i: one(c, i, d)), ""))
 
 
 def check_digit(body: Column) -> Column:
@@ -137,20 +140,24 @@ def drawn(type_: Column, canon: Column, attempt: Column, key: str) -> Column:
     # where the corpus has the listed names itself, none of them is free: then one of the pool
     given = F.coalesce(*[F.when(canon.isin([n.lower() for n in names]), F.when(attempt < 4, one_of(names)).otherwise(one_of(POOL[k])))
                          for k, names in GIVEN.items()])
+    more = F.floor(attempt / 4).cast("int")  # short forms may all be taken: later draws are longer
     body = F.concat(F.substring(canon, 1, 1), shaped(F.substring(canon, F.lit(2), F.length(canon) - 2), digest, F.lit(False)))
     code = F.regexp_extract(canon, _KEPT, 0)
-    octet = lambda i: (F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(254)) + 1).cast("string")
+    # should all addresses occur, octets beyond 255 are free
+    octet = lambda i: F.when(attempt < 50, F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(254)) + 1).otherwise(
+        F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(744)) + 256).cast("string")
     local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
     top = F.substring_index(domain, ".", -1)
     host = F.regexp_replace(domain, r"\.[^.]*$", "")
-    return (F.when(type_ == "email", F.concat(shaped(local, digest, F.lit(False)), F.lit("@"),
+    return (F.when(type_ == "email", F.concat(shaped(F.concat(local, F.repeat(F.lit("a"), more)), digest, F.lit(False)), F.lit("@"),
                                               shaped(host, F.sha2(F.concat_ws("|", F.lit(key), host), 256), F.lit(False)), F.lit("."), top))
             .when(type_ == "ipv4", F.concat_ws(".", *(octet(i) for i in range(4))))
             .when(type_ == "card", F.concat(body, check_digit(body)))
-            .when(type_ == "phone", F.concat(code, shaped(F.substring(canon, F.length(code) + 1, F.length(canon)), digest, F.lit(False))))
+            .when(type_ == "phone", F.concat(code, shaped(F.concat(F.substring(canon, F.length(code) + 1, F.length(canon)),
+                                                                            F.repeat(F.lit("0"), more)), digest, F.lit(False))))
             .when(type_ == "secret", shaped(canon, digest, F.lit(True)))
             .when(type_ == "given", given)
-            .otherwise(shaped(canon, digest, F.lit(False))))
+            .otherwise(shaped(F.concat(canon, F.repeat(F.right(canon, F.lit(1)), more)), digest, F.lit(False))))
 
 
 def spelled(type_: Column, value: Column, core: Column) -> Column:
@@ -158,7 +165,8 @@ def spelled(type_: Column, value: Column, core: Column) -> Column:
     def digits(c: Column) -> Column:  # the i-th digit of the value becomes the i-th of the surrogate
         pieces = F.split(value, "")
         place = F.transform(pieces, lambda x, i: F.length(F.regexp_replace(F.substring(value, F.lit(1), i + 1), r"\D", "")))
-        return F.array_join(F.zip_with(pieces, place, lambda x, p: F.when(x.rlike("[0-9]") & (p <= F.length(c)), F.substring(c, p, F.lit(1))).otherwise(x)), "")
+        named = F.array_join(F.zip_with(pieces, place, lambda x, p: F.when(x.rlike("[0-9]") & (p <= F.length(c)), F.substring(c, p, F.lit(1))).otherwise(x)), "")
+        return F.concat(named, F.when(type_ == "phone", F.substring(c, F.length(F.regexp_replace(value, r"\D", "")) + 1, F.length(c))).otherwise(""))
 
     capitals = F.initcap(F.regexp_replace(core, "-", " "))
     return (F.when(type_.isin("phone", "card"), let(F.regexp_replace(core, r"\+", ""), digits))

@@ -4,8 +4,10 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from llm_cases import WORDS, documents, frame, plain_words, text
 
 from satlens.llm import mixing, ngram_join, pii_surrogate, quality_llr, toxicity
@@ -258,6 +260,29 @@ def test_mixed_documents(spark):
     assert mixing.mixed_documents(frame(spark, [])).count() == 0
 
 
+def test_surrogates_of_long_domains_and_runs(spark):
+    """No pattern recurses once a label, digit or letter."""
+    cases = {"labels": "a@b" + ".c" * 2000, "many": "write to joe@mail" + ".com" * 100_000 + " now", "digits": "7" * 300_000, "hex": "ab12" * 50_000,
+             "letters": "x" * 500_000 + "@", "dots": "a@" + "b." * 50_000, "plus": "+" + "1 " * 50_000, "at": "@" * 100_000,
+             "names": "Anna " + "Lee-" * 20_000, "mixed": ("joe.doe@example.com " + "z" * 100 + " ") * 2000}
+    docs = spark.createDataFrame(list(cases.items()), "doc_id string, text string")
+    got = {r["doc_id"]: r["text"] for r in pii_surrogate.replace_pii(docs, "key").collect()}
+    assert got["labels"] == cases["labels"] and got["letters"] == cases["letters"]
+    assert "joe@" not in got["many"] and "joe.doe" not in got["mixed"] and len(set(re.findall(r"\S+@\S+", got["mixed"]))) == 1
+    for name in ("digits", "hex"):  # long secrets
+        assert got[name] != cases[name] and len(got[name]) == len(cases[name])
+
+
+def test_surrogates_end_where_all_forms_of_a_length_occur(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    entities = [("surname", a + b) for a in letters for b in letters] + [("email", f"{a}@b.org") for a in letters] + [("ipv4", "1.2.3.4")]
+    got = pii_surrogate.surrogates(spark.createDataFrame(entities, "type string, canon string"), "key").collect()
+    assert sorted((r["type"], r["canon"]) for r in got) == sorted(entities)
+    cores = [(r["type"], r["core"]) for r in got]
+    assert len(set(cores)) == len(cores) and not set(cores) & set(entities)
+    assert all(re.fullmatch("[a-z]{3,}", c) for t, c in cores if t == "surname")
+
+
 # -- toxicity ----------------------------------------------------------------
 def labelled():
     bad = ["idiot", "moron", "worthless", "stupid"]
@@ -274,7 +299,7 @@ def test_toxicity_on_held_out_rows(spark):
     rows, labels = labelled()
     docs = frame(spark, rows + [(900, None, "a"), (901, "", "a"), (None, "you idiot moron", "a"), (902, "alpha " * 9000 + "idiot moron", "a")])
     chain = toxicity.fit_chain(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), toxicity.default_categories())
-    assert [m.numFeatures for m in chain.links] == [chain.links[0].numFeatures + k for k in range(3)]
+    assert [len(m.earlier) for m in chain.links] == [0, 1, 2] and min(chain.held_out) > 0.9
     got = chain.score(docs)
     assert got.columns == docs.columns + ["p_insult", "p_degrading", "p_toxic", "toxic"]
     by_id = {r["doc_id"]: r["toxic"] for r in got.collect()}
@@ -283,14 +308,67 @@ def test_toxicity_on_held_out_rows(spark):
     assert not by_id[900] and not by_id[901] and by_id[None] and by_id[902]
 
 
-def test_toxicity_keeps_every_word_of_enough_documents(spark):
-    from pyspark.sql import functions as F
+def test_toxicity_gives_every_word_a_weight(spark):
+    """Hashed slots: a rare word counts like any other, and nothing grows with the number of words."""
     rows, labels = labelled()
     many = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(17_000)]
-    rows += [(1000 + i, " ".join(many), "a") for i in range(3)]
-    chain = toxicity.fit_chain(frame(spark, rows), spark.createDataFrame(labels + [(1000 + i, 0) for i in range(3)], "doc_id long, toxic int"),
-                               {"toxic": F.col("y") == 1}, toxicity.Settings(iterations=1, folds=2))
-    assert set(many) <= set(chain.words.vocabulary)
+    rows += [(1000 + i, " ".join(many) + (" vile" if i < 3 else ""), "a") for i in range(6)]
+    labels = labels + [(1000 + i, int(i < 3)) for i in range(6)]
+    settings = toxicity.Settings(folds=2)
+    chain = toxicity.fit_chain(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), {"toxic": F.col("y") == 1}, settings)
+    assert len(chain.links[0].words) == settings.slots
+    got = {r["doc_id"]: r["toxic"] for r in chain.score(frame(spark, rows)).collect()}
+    assert [got[1000 + i] for i in range(6)] == [True] * 3 + [False] * 3
+
+
+def test_toxicity_equals_a_plain_chain(spark):
+    """Links solved by plain proximal gradient steps in numpy, with the same folds."""
+    rows, labels = labelled()
+    settings = toxicity.Settings(slots=512, folds=3, iterations=1000, penalty=0.01, tolerance=1e-12)
+    docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    chain = toxicity.fit_chain(docs, marks, toxicity.default_categories(), settings)
+
+    def matrix(texts):
+        x = np.zeros((len(texts), settings.slots))
+        for i, t in enumerate(texts):
+            for w in re.findall(r"[^\W\d_]+", t.lower()):
+                h = xxhash.xxh64_intdigest(w.encode(), 42)  # Spark's xxhash64 is signed, with seed 42
+                x[i, (h - (1 << 64) if h >= 1 << 63 else h) % settings.slots] = 1
+        return x
+
+    def fitted(x, y):
+        one = np.column_stack([x, np.ones(len(x))])
+        price = np.append(np.full(x.shape[1], settings.penalty), 0)
+        step = 4 * len(x) / np.linalg.norm(one, 2) ** 2
+        beta = np.zeros(one.shape[1])
+        for _ in range(20_000):
+            beta = beta - step * (one.T @ (1 / (1 + np.exp(-one @ beta)) - y)) / len(y)
+            beta = np.sign(beta) * np.maximum(np.abs(beta) - step * price, 0)
+        return beta[:-1], beta[-1]
+
+    p = lambda m, x: 1 / (1 + np.exp(-(x @ m[0] + m[1])))
+    kept = toxicity.training_rows(docs, marks, settings, "doc_id", "text").collect()
+    texts, y, fold = [r["text"] for r in kept], np.array([r["y"] for r in kept]), np.array([r["fold"] for r in kept])
+    has = lambda seeds: np.array([bool(set(seeds) & set(t.split())) for t in texts])
+    x, every = matrix(texts), matrix([t for _, t, _ in rows])
+    for target in (y * has(toxicity.INSULTS), y * has(toxicity.DEGRADING), y):
+        own = fitted(x, target)
+        apart = np.zeros(len(x))
+        for f in range(3):
+            apart[fold == f] = p(fitted(x[fold != f], target[fold != f]), x[fold == f])
+        x, every = np.column_stack([x, apart]), np.column_stack([every, p(own, every)])
+    got = {r["doc_id"]: [r["p_insult"], r["p_degrading"], r["p_toxic"]] for r in chain.score(docs).collect()}
+    assert np.allclose([got[d] for d, _, _ in rows], every[:, -3:], atol=2e-3)
+
+
+def test_toxicity_with_clashing_columns(spark):
+    rows, labels = labelled()
+    docs = frame(spark, rows).withColumns({"toxic": F.lit("own"), "p_toxic": F.lit(7), "row": F.lit(1), "verdict": F.lit(2), "slots": F.lit(3)})
+    chain = toxicity.fit_chain(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), toxicity.default_categories())
+    got = chain.score(docs)
+    assert len(got.columns) == len(set(got.columns)) and got.schema["toxic"].dataType.simpleString() == "boolean"
+    kept = docs.where(~chain.verdict(F.col("text"))["toxic"])
+    assert kept.columns == docs.columns and {r["toxic"] for r in kept.collect()} == {"own"} and {r["p_toxic"] for r in kept.collect()} == {7}
 
 
 def test_toxicity_without_labels_of_both_kinds(spark):

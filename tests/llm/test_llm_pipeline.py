@@ -86,7 +86,7 @@ def test_run_equals_the_stages(spark, stages):
 
 def test_queries_are_registered_once():
     numbers = [int(n.split("_")[0][2:]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
+    assert sorted(numbers) == list(range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
 
 
 def test_the_rest_works_without_the_subpackage(tmp_path):
