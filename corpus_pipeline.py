@@ -27,7 +27,7 @@ from satlens.llm.common import broadcast_if_small, materialize, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     chain = toxicity.fit_chain(docs, labels, toxicity.default_categories())
-    return chain.score(docs).where("not toxic").select(*docs.columns)
+    return docs.where(~chain.verdict(F.col("text"))["toxic"])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
