@@ -1,5 +1,5 @@
-"""MLlib fitting: promoter / detractor classifiers, cross-validation, parameter
-search, imputers and encoders (§2.10 M4-M8, M19).
+"""MLlib fitting: promoter / detractor classifiers, imputers and encoders (§2.10
+M4-M6, M19); cross-validation and search are in ``boosting`` and ``search``.
 
 Fitting is distributed by MLlib (tree statistics are aggregated per
 partition; GBT persists its own training input while it fits).  Independent
@@ -14,11 +14,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,59 +65,6 @@ def probability(df: DataFrame, model, out: str) -> DataFrame:
         "probability", "rawPrediction", "prediction")
 
 
-def cv_scores(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold", k: int = 5,
-              params: Mapping | None = None) -> DataFrame:
-    """k fits with early stopping on the held-out fold (validation indicator);
-    returns fold, trees kept, validation log-loss and AUC."""
-    import uuid
-
-    from satlens.operators.metrics import auc
-    from satlens.operators.trees import read_trees, score
-    from satlens.session import scratch_path
-    data = assemble(df, features)
-    spark = df.sparkSession
-
-    def one(f: int):
-        d = data.withColumn("__val", F.col(fold_col) == f)
-        m = gbt(label, params, validation="__val").fit(d)
-        val = data.filter(F.col(fold_col) == f).select(*features, label)
-        trees = read_trees(spark, m)
-        # Scores are written once (shared checkpoint folder) so the metric plans
-        # scan a small table instead of re-inlining every tree expression.
-        path = scratch_path(spark, f"cv-scores-{uuid.uuid4().hex}")
-        score(val, trees, features, "__p").select(label, "__p").write.mode("overwrite").parquet(path)
-        s = spark.read.parquet(path)
-        eps = 1e-15
-        pr = F.least(F.greatest(F.col("__p"), F.lit(eps)), F.lit(1 - eps))
-        ll = s.agg(F.avg(F.when(F.col(label) == 1, -F.log(pr)).otherwise(-F.log(1 - pr))).alias("ll"))
-        a = auc(s, label, "__p")
-        return ll.select(F.lit(f).alias("fold"), F.lit(len(trees)).alias("n_trees"),
-                         F.col("ll").alias("val_logloss"), a.select("auc").scalar().alias("auc"))
-
-    with ThreadPoolExecutor(max_workers=min(k, 4)) as ex:
-        parts = list(ex.map(one, range(k)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("label", F.lit(label))
-
-
-def param_search(df: DataFrame, features: Sequence[str], label: str, fold_col: str = "fold",
-                 grid: Mapping[str, Sequence] | None = None, parallelism: int = 4):
-    """Grid search with cross-validation over precomputed folds; returns the
-    fitted CrossValidatorModel (best model refit on all rows)."""
-    est = gbt(label)
-    grid = grid or {"maxDepth": [3, 4], "stepSize": [0.1, 0.3]}
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(est.getParam(name), list(values))
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=b.build(), evaluator=ev, foldCol=fold_col,
-                        parallelism=parallelism, seed=0)
-    data = assemble(df, features).select(VEC, label, fold_col)
-    return cv.fit(data), list(grid)
-
-
 def logistic(df: DataFrame, features: Sequence[str], label: str, reg: float = 0.0):
     """Median imputation + logistic regression pipeline (linear alternative)."""
     imp_cols = [f"{f}__imp" for f in features]

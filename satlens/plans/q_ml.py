@@ -11,11 +11,12 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators import clean, metrics as M, models, split as SP, stats
+from satlens.operators import boosting, clean, metrics as M, models, search, split as SP, stats
 from satlens.operators import trees as TR
 from satlens.operators.treeshap import tree_shap
 from satlens.plans.oracle_base import MODEL
@@ -26,6 +27,9 @@ from satlens.session import scratch_path
 # As many trees as SURVEY 7.5 allows a query: the ensembles of C.ENSEMBLE_STEP hold three truncated models.
 QUERY_GBT = {"maxIter": 30, "maxDepth": 4, "stepSize": 0.2, "seed": 0}
 
+# Fewer rounds than search.RUNGS; the points, samples, folds and labels are the production ones.
+QUERY_RUNGS = ((1 / 27, 2), (1 / 9, 4), (1 / 3, 8), (1.0, 12))
+
 
 #: (application, input folder) -> the fitted pair and its trees: model metadata, fitted once an application.
 _FITTED: dict[tuple[str, str], tuple[dict, dict]] = {}
@@ -106,24 +110,30 @@ def q_score_quarters(x: Inputs):
 
 @register("cv_scores")
 def q_cv_scores(x: Inputs):
+    """Both labels, five folds: each fold's model is cut at its best round; all metrics come from rows it did not see."""
     d = SP.kfold_ids(x.model_input, 5, [C.PROMOTER], seed=1)
-    return rounded(models.cv_scores(d, C.FEATURES, C.PROMOTER, k=5, params=QUERY_GBT))
+    kept = boosting.cross_validate(d, k=5, params=QUERY_GBT, patience=10)
+    s = x.persist(boosting.held_out_scores(d.select("fold", *C.FEATURES, *C.LABELS), kept), "cv-scores")
+    long = reduce(lambda a, b: a.unionByName(b), [s.select(F.lit(lab).alias("label"), "fold", F.col(lab).alias("y"), F.col(f"p_{lab}").alias("p"))
+                                                 for lab in C.LABELS])
+    rounds = x.spark.createDataFrame([(m.label, m.fold, m.best_round, len(m.losses), float(m.losses[m.best_round - 1])) for m in kept],
+                                     "label string, fold int, best_round int, rounds int, best_log_loss double")
+    report = M.class_report(long, "y", "p", ["label", "fold"]).drop("tp", "fp", "fn", "tn")
+    metrics = M.binary_metrics(long, "y", "p", ["label", "fold"])
+    return rounded(rounds.join(report, ["label", "fold"]).join(metrics, ["label", "fold"]))
 
 
 @register("param_search")
 def q_param_search(x: Inputs):
+    """50 points a label in four rungs; one row a trial and rung, the last rung's winner is marked."""
     d = SP.kfold_ids(x.model_input, 5, [C.PROMOTER], seed=1)
-    cvm, names = models.param_search(d, C.FEATURES, C.PROMOTER, grid={"maxDepth": [2, 3], "stepSize": [0.1, 0.3]},
-                                     parallelism=4)
-    maps = cvm.getEstimatorParamMaps()
-    rows = [(i, *[float(pm[cvm.getEstimator().getParam(n)]) for n in names], float(m))
-            for i, (pm, m) in enumerate(zip(maps, cvm.avgMetrics))]
-    grid = x.spark.createDataFrame(rows, ["grid_point", *names, "cv_auc"])
-    # One row a grid point; the refitted best model is scored on all rows.
-    best = cvm.bestModel
-    sc = models.probability(models.assemble(x.model_input, C.FEATURES), best, "__p")
-    auc = M.auc(sc, C.PROMOTER, "__p").select("auc").scalar()
-    return rounded(grid.withColumn("best_model_full_auc", auc))
+    trials, best = search.search(d, k=5, trials=50, seed=7, rungs=QUERY_RUNGS, table=scratch_path(x.spark, f"trials-{uuid.uuid4().hex}"))
+    last = len(QUERY_RUNGS) - 1
+    wins = F.lit(False)
+    for lab, point in best.items():
+        wins = wins | ((F.col("label") == lab) & (F.col("rung") == last) & (F.col("best_round") == point["maxIter"])
+                       & (F.col("stepSize") == point["stepSize"]))
+    return rounded(trials.withColumn("best", wins))
 
 
 @register("train_lr")
@@ -220,7 +230,8 @@ def q_one_hot(x: Inputs):
 
 @register("champion_gate")
 def q_champion_gate(x: Inputs):
-    """New pair (this fit) against a champion fitted with other parameters."""
+    """Three cycles through the store: a first run, a stronger pair against it, the first pair again."""
+    from satlens.sources import models_store
     mi = x.model_input.withColumn("year", F.year(C.DATE))
     sp = SP.split_stratified(mi, ["year"], 0.2, 0.0, seed=0)
     train = sp.filter(F.col("split") == "train")
@@ -230,14 +241,17 @@ def q_champion_gate(x: Inputs):
     def long(fitted, tag):
         parts = []
         for lab, m in fitted.items():
-            trees = TR.read_trees(x.spark, m)
-            s = x.persist(TR.score(sp.select(*C.FEATURES, *C.LABELS, "split"), trees, C.FEATURES, "__p"),
+            s = x.persist(TR.score(sp.select(*C.FEATURES, *C.LABELS, "split"), boosting.node_trees(m), C.FEATURES, "__p"),
                           f"gate-scores-{tag}-{lab}")
             b = M.binary_metrics(s, lab, "__p", ["split"]).withColumnRenamed("split", "dataset")
             parts.append(M.metrics_long(b.withColumn("model", F.lit(lab)), ["model", "dataset"]))
-        return parts[0].unionByName(parts[1])
+        return x.persist(parts[0].unionByName(parts[1]), f"gate-metrics-{tag}")
 
-    return M.champion_gate(long(new, "new"), long(old, "old"))
+    root, judged = scratch_path(x.spark, f"champions/{uuid.uuid4().hex}"), {"old": (old, long(old, "old")), "new": (new, long(new, "new"))}
+    cycles = [models_store.deploy_or_reject(x.spark, root, day, *judged[tag], C.FEATURES)
+              for day, tag in (("2000-01-01", "old"), ("2000-06-01", "new"), ("2000-12-01", "old"))]
+    in_use = models_store.champion(x.spark, root).version
+    return reduce(lambda a, b: a.unionByName(b), cycles).withColumn("version_in_use", F.lit(in_use))
 
 
 @register("train_window")
