@@ -16,7 +16,6 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,29 +85,3 @@ def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                       stringOrderType="frequencyDesc"),
         OneHotEncoder(inputCols=idx, outputCols=vec, handleInvalid="keep", dropLast=True)])
     return pipe.fit(df).transform(df)
-
-
-def impute_gbt_by_month(df: DataFrame, target: str, features: Sequence[str], month_col: str = "month",
-                        max_iter: int = 20, depth: int = 3, step: float = 0.1) -> DataFrame:
-    """Per calendar month, a GBT regressor fitted on known targets fills the
-    missing ones; months without any known target keep NULL.  The month fits
-    (at most 12) run concurrently; the result is one union of the months."""
-    data = assemble(df, features)
-    months = [r[0] for r in data.select(month_col).distinct().collect()]  # at most 12 values
-
-    def one(m):
-        part = data.filter(F.col(month_col) == m)
-        train = part.filter(F.col(target).isNotNull())
-        if train.limit(1).count() == 0:
-            return part.drop(VEC).withColumn(f"{target}_imputed", F.col(target))
-        model = GBTRegressor(featuresCol=VEC, labelCol=target, maxIter=max_iter, maxDepth=depth,
-                             stepSize=step, seed=0).fit(train)
-        return model.transform(part).withColumn(
-            f"{target}_imputed", F.coalesce(F.col(target), F.col("prediction"))).drop("prediction", VEC)
-
-    with ThreadPoolExecutor(max_workers=4) as ex:
-        parts = list(ex.map(one, months))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

@@ -63,12 +63,16 @@ def read_trees(spark: SparkSession, model, path: str | None = None) -> list[Tree
     from satlens.session import scratch_path
     path = path or scratch_path(spark, f"model-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
+    return stored_trees(spark, path, model.treeWeights)
+
+
+def stored_trees(spark: SparkSession, path: str, weights: Sequence[float]) -> list[Tree]:
+    """Node table of a saved tree-ensemble model."""
     data = spark.read.parquet(os.path.join(path, "data"))
-    weights = list(model.treeWeights)
     rows = data.select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.rawCount",
                        "nodeData.leftChild", "nodeData.rightChild", "nodeData.split.featureIndex",
                        "nodeData.split.leftCategoriesOrThreshold").collect()
-    trees = [Tree(weight=w) for w in weights]
+    trees = [Tree(weight=float(w)) for w in weights]
     for r in rows:
         thr = r.leftCategoriesOrThreshold[0] if r.leftCategoriesOrThreshold else 0.0
         n = Node(r.id, float(r.prediction), float(r.rawCount), int(r.featureIndex), float(thr),

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators import boosting, clean, metrics as M, models, search, split as SP, stats
+from satlens.operators import boosting, clean, imputers, metrics as M, models, search, split as SP, stats
 from satlens.operators import trees as TR
 from satlens.operators.treeshap import tree_shap
 from satlens.plans.oracle_base import MODEL
@@ -31,6 +31,9 @@ QUERY_GBT = {"maxIter": 30, "maxDepth": 4, "stepSize": 0.2, "seed": 0}
 QUERY_RUNGS = ((1 / 27, 2), (1 / 9, 4), (1 / 3, 8), (1.0, 12))
 
 
+# Fewer rounds than imputers.PARAMS.
+QUERY_IMPUTER = {"maxIter": 20}
+
 #: (application, input folder) -> the fitted pair and its trees: model metadata, fitted once an application.
 _FITTED: dict[tuple[str, str], tuple[dict, dict]] = {}
 
@@ -178,13 +181,18 @@ def q_model_asof(x: Inputs):
 
 @register("impute_gbt")
 def q_impute_gbt(x: Inputs):
+    """Monthly imputers through their store: all months fitted to the end of 1997, the first half-year's again to June 2000;
+    the whole table filled as of two days.  One row a day, month and version used."""
     mi = x.model_input.withColumn("month", F.month(C.DATE))
-    feats = ["load_factor", *C.TOUCHPOINTS, C.OTP, "year"]
-    mi = mi.withColumn("year", F.year(C.DATE))
-    out = models.impute_gbt_by_month(mi, "ticket_price", feats, "month", max_iter=5, depth=3)
-    return rounded(out.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.count("ticket_price").alias("n_known"),
-                                            F.count("ticket_price_imputed").alias("n_filled"),
-                                            F.avg("ticket_price_imputed").alias("mean_price")))
+    numeric, root = ["load_factor", *C.TOUCHPOINTS, C.OTP], scratch_path(x.spark, f"imputers/{uuid.uuid4().hex}")
+    early = mi.where(F.col(C.DATE) <= dt.date(1997, 12, 31))
+    late = mi.where((F.col(C.DATE) <= dt.date(2000, 6, 30)) & (F.col("month") <= 6))
+    for version, rows in (("1997-12-31", early), ("2000-06-30", late)):
+        imputers.save_months(x.spark, root, version, imputers.fit_months(rows, "ticket_price", numeric, C.SEGMENT, params=QUERY_IMPUTER))
+    days = [imputers.predict_and_fill(mi, root, day, "ticket_price").withColumn("as_of", F.lit(day)) for day in ("1999-12-31", "2000-12-31")]
+    return rounded(days[0].unionByName(days[1]).groupBy("as_of", "month").agg(
+        F.max("imputer_version").alias("imputer_version"), F.count(F.lit(1)).alias("n"), F.count("ticket_price").alias("n_known"),
+        F.count("ticket_price_imputed").alias("n_filled"), F.avg("ticket_price_imputed").alias("mean_price")))
 
 
 @register("impute_month_median", MODEL + """

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel
@@ -38,6 +39,38 @@ def latest_version(spark: SparkSession, root: str, name: str, as_of: str, n: int
     return ok[-n] if len(ok) >= n else None
 
 
+# -- versions that count once they are whole ---------------------------------
+#: Written last into a version's folder.
+READY = "_READY"
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+@contextmanager
+def ready_version(spark: SparkSession, root: str, name: str, version: str):
+    """The folder to write a version into; the mark that makes it count is set when the block ends without an error.
+
+    Writing a version again takes its mark away first, so readers fall back to the one before."""
+    path = f"{root.rstrip('/')}/{name}/{version}"
+    fs, mark = _file_system(spark, f"{path}/{READY}")
+    fs.delete(mark, False)
+    yield path
+    fs.create(mark, True).close()
+
+
+def ready_versions(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Whole versions, oldest first."""
+    out = []
+    for v in list_versions(spark, root, name):
+        fs, mark = _file_system(spark, f"{root.rstrip('/')}/{name}/{v}/{READY}")
+        if fs.exists(mark):
+            out.append(v)
+    return out
+
+
 # -- champion ----------------------------------------------------------------
 #: Names the folder of the version in use; it is replaced in one step.
 POINTER = "CURRENT"
