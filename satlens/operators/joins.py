@@ -40,6 +40,41 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def fallback_join(left: DataFrame, right: DataFrame, levels: Sequence[Sequence[str]], sums: Sequence[str],
+                  level_col: str = "match_level") -> DataFrame:
+    """Left join on the most specific key list that matches: ``levels`` from many keys to few, each a subset of the first.
+
+    The columns ``sums`` of ``right`` are added up for every key of every level, so a
+    row meets one record however many rows its key has there.  The finest level is
+    aggregated from the rows and the coarser ones from it.  The lookup runs on the
+    distinct keys of ``left``, which meet all levels in one join and keep the finest
+    match; one join brings it back to the rows.  NULL matches NULL.  ``level_col`` is the number of
+    keys of the match, NULL (like the sums) where no level matches.
+    """
+    keys = list(levels[0])
+    if any(set(lv) - set(keys) for lv in levels) or len({len(lv) for lv in levels}) < len(levels):
+        raise ValueError("levels must be subsets of the first, each of another length")
+    totals = [F.sum(c).alias(c) for c in sums]
+    finest = right.groupBy(*keys).agg(*totals)
+    types = {f.name: f.dataType for f in finest.schema.fields}
+
+    def at(df: DataFrame, level: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"__k_{k}") if k in level else F.lit(None).cast(types[k]).alias(f"__k_{k}") for k in keys],
+                         F.lit(len(level)).alias("__level"), *extra)
+
+    records = at(finest, keys, sums)
+    for level in levels[1:]:
+        records = records.unionByName(at(finest.groupBy(*level).agg(*totals), level, sums))
+    wanted = left.select(*keys).distinct()
+    asked = wanted.select("*", F.explode(F.array(*[F.struct(
+        F.lit(len(lv)).alias("__level"), *[(F.col(k) if k in lv else F.lit(None)).cast(types[k]).alias(f"__k_{k}") for k in keys])
+        for lv in levels])).alias("__ask")).select(*keys, "__ask.*")
+    found = left_join_null_safe(asked, records, [f"__k_{k}" for k in keys] + ["__level"], "inner")
+    best = found.groupBy(*keys).agg(F.max_by(F.struct("__level", *sums), "__level").alias("__best"))
+    best = best.select(*keys, F.col("__best.__level").alias(level_col), *[F.col(f"__best.{c}").alias(c) for c in sums])
+    return left_join_null_safe(left, best, keys)
+
+
 def join_dictionary(df: DataFrame, dictionary: DataFrame, left_key: str, right_key: str,
                     value_col: str, exclude: Sequence[str] = ()) -> DataFrame:
     """Left join a code dictionary with a differently named key; the looked-up

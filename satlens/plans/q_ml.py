@@ -20,7 +20,7 @@ from satlens.operators import boosting, clean, imputers, metrics as M, models, s
 from satlens.operators import trees as TR
 from satlens.operators.treeshap import tree_shap
 from satlens.plans.oracle_base import MODEL
-from satlens.plans.registry import Inputs, register, rounded
+from satlens.plans.registry import Inputs, input_state, register, rounded
 from satlens.plans.scoring import predict_and_explain
 from satlens.session import scratch_path
 
@@ -34,12 +34,12 @@ QUERY_RUNGS = ((1 / 27, 2), (1 / 9, 4), (1 / 3, 8), (1.0, 12))
 # Fewer rounds than imputers.PARAMS.
 QUERY_IMPUTER = {"maxIter": 20}
 
-#: (application, input folder) -> the fitted pair and its trees: model metadata, fitted once an application.
-_FITTED: dict[tuple[str, str], tuple[dict, dict]] = {}
+#: (application, state of the input) -> the fitted pair and its trees: model metadata, fitted once an application.
+_FITTED: dict[tuple, tuple[dict, dict]] = {}
 
 
 def _pair(x: Inputs):
-    key = (x.spark.sparkContext.applicationId, x.sf_dir)
+    key = (x.spark.sparkContext.applicationId, input_state(x.spark, x.sf_dir))
     if key not in _FITTED:
         fitted = models.train_pair(x.model_input, params=QUERY_GBT)
         _FITTED[key] = fitted, {lab: TR.read_trees(x.spark, m) for lab, m in fitted.items()}

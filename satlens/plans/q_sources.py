@@ -74,21 +74,28 @@ def q_union_by_name(x: Inputs):
 
 @register("scan_tolerant", BASE + """
 SELECT count_if(respondent_id % 97 <> 0) AS n_good, count_if(respondent_id % 97 = 0) AS n_rejected,
-  CAST(sum(CASE WHEN respondent_id % 97 <> 0 THEN nps_100 END) AS BIGINT) AS nps_sum_good
+  CAST(sum(CASE WHEN respondent_id % 97 <> 0 THEN nps_100 END) AS BIGINT) AS nps_sum_good,
+  CAST(1 AS BIGINT) AS n_empty_files, CAST(1 AS BIGINT) AS n_unreadable_files
 FROM survey""")
 def q_scan_tolerant(x: Inputs):
+    """Survey text with malformed lines, beside a file of zero bytes and one that is no gzip file in spite of its name."""
     path = _fresh(x, "survey-text")
     rid = F.col(C.ID)
     line = F.when(rid % 97 == 0, F.concat(F.lit("x"), rid.cast("string"), F.lit(",bad,??"))).otherwise(
         F.concat_ws(",", rid.cast("string"), F.col(C.SCORE).cast("string"),
                     F.coalesce(F.col("ticket_price").cast("string"), F.lit(""))))
     x.survey.select(line.alias("value")).write.mode("overwrite").text(path)
+    FS.write_bytes(x.spark, f"{path}/part-empty.csv", b"")
+    FS.write_bytes(x.spark, f"{path}/part-damaged.csv.gz", b"1,2,3 and no gzip head")
     schema = T.StructType([T.StructField("respondent_id", T.LongType()), T.StructField("nps_100", T.IntegerType()),
                            T.StructField("ticket_price", T.DoubleType())])
-    good, bad = FS.scan_tolerant(x.spark, path, schema, header=False)
-    g = good.agg(F.count(F.lit(1)).alias("n_good"), F.sum(C.SCORE).alias("nps_sum_good"))
-    n_bad = bad.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    return g.select("n_good", n_bad.alias("n_rejected"), "nps_sum_good")
+    good, _ = FS.scan_tolerant(x.spark, path, schema, header=False)
+    total = good.agg(F.sum(C.SCORE).alias("s")).select("s").scalar()
+    files = FS.scan_outcomes(x.spark, path, schema)
+    # A task without rows writes an empty part of its own: only the planted one is counted.
+    planted = (F.col("status") == "empty") & F.col("file").endswith("/part-empty.csv")
+    return files.agg(F.sum("n_good").alias("n_good"), F.sum("n_rejected").alias("n_rejected"), total.alias("nps_sum_good"),
+                     F.count_if(planted).alias("n_empty_files"), F.count_if(F.col("status") == "unreadable").alias("n_unreadable_files"))
 
 
 def _snapshots(x: Inputs) -> str:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from satlens import config as C
 from satlens.functions import scalar as S
 from satlens.operators import joins, nps, reshape, stats, windows
-from satlens.plans.oracle_base import BASE, MODEL, SCORED, LOAD_FACTOR, SURVEY, with_ctes
+from satlens.plans.oracle_base import BASE, LOAD_FACTOR, MODEL, SCORED, SURVEY, with_ctes
 from satlens.plans.registry import Inputs, r6, register, rounded
+from satlens.sources import testdata as td
 
 _MONTH = "CAST(date_trunc('month', date_flight_local) AS DATE)"
 LF_BASE = with_ctes(SURVEY, LOAD_FACTOR)
@@ -238,19 +239,38 @@ def q_sample_compare(x: Inputs):
 
 
 # ------------------------------------------------------------------ joins
-@register("join_lf_4key", with_ctes(SURVEY, LOAD_FACTOR) + """
-, lf AS (SELECT flight_date_local, op_flight_num, haul, pax_economy / nullif(capacity_economy, 0) AS lf_economy FROM load_factor)
-SELECT s.haul, count(*) AS n_rows, count(lf.lf_economy) AS n_matched, round(sum(lf.lf_economy), 6) AS lf_sum
-FROM survey s LEFT JOIN lf ON CAST(date_trunc('month', s.date_flight_local) AS DATE) IS NOT DISTINCT FROM lf.flight_date_local
-  AND s.surveyed_flight_number IS NOT DISTINCT FROM lf.op_flight_num AND s.haul IS NOT DISTINCT FROM lf.haul
-GROUP BY ALL""")
+@register("join_lf_4key", BASE + """
+, lf AS (
+SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS flight_month, l.l_suppkey AS flight,
+  CASE l.l_returnflag WHEN 'A' THEN 'Business' WHEN 'N' THEN 'Premium Economy' ELSE 'Economy' END AS cabin,
+  CASE l.l_suppkey % 3 WHEN 0 THEN 'LH' WHEN 1 THEN 'SH' ELSE 'MH' END AS haul,
+  CASE WHEN l.l_suppkey % 7 = 0 THEN 'I2' WHEN o.o_orderstatus = 'O' THEN 'IB' WHEN o.o_orderstatus = 'F' THEN 'YW' ELSE 'XX' END AS carrier,
+  l.l_quantity AS pax, 50 AS capacity
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_suppkey % 10 <> 0
+),
+k5 AS (SELECT flight_month, flight, cabin, haul, carrier, sum(pax) / sum(capacity) AS lf FROM lf GROUP BY ALL),
+k4 AS (SELECT flight_month, flight, cabin, carrier, sum(pax) / sum(capacity) AS lf FROM lf GROUP BY ALL),
+k3 AS (SELECT flight_month, flight, cabin, sum(pax) / sum(capacity) AS lf FROM lf GROUP BY ALL),
+j AS (
+SELECT s.haul, CASE WHEN k5.lf IS NOT NULL THEN 5 WHEN k4.lf IS NOT NULL THEN 4 WHEN k3.lf IS NOT NULL THEN 3 END AS match_level,
+  coalesce(k5.lf, k4.lf, k3.lf) AS lf
+FROM survey s
+LEFT JOIN k5 ON k5.flight_month = date_trunc('month', s.date_flight_local) AND k5.flight = s.surveyed_flight_number
+  AND k5.cabin = s.cabin_in_surveyed_flight AND k5.haul = s.haul AND k5.carrier = s.operating_airline_code
+LEFT JOIN k4 ON k4.flight_month = date_trunc('month', s.date_flight_local) AND k4.flight = s.surveyed_flight_number
+  AND k4.cabin = s.cabin_in_surveyed_flight AND k4.carrier = s.operating_airline_code
+LEFT JOIN k3 ON k3.flight_month = date_trunc('month', s.date_flight_local) AND k3.flight = s.surveyed_flight_number
+  AND k3.cabin = s.cabin_in_surveyed_flight
+)
+SELECT haul, match_level, count(*) AS n_rows, round(sum(lf), 6) AS lf_sum FROM j GROUP BY ALL""")
 def q_join_lf_4key(x: Inputs):
-    lf = x.load_factor.select(F.col("flight_date_local").alias("flight_month"), F.col("op_flight_num").alias(C.FLIGHT),
-                              C.HAUL, S.safe_ratio("pax_economy", "capacity_economy").alias("lf_economy"))
-    s = x.survey.select(S.month_start(C.DATE).alias("flight_month"), C.FLIGHT, C.HAUL)
-    j = joins.left_join_null_safe(s, lf, ["flight_month", C.FLIGHT, C.HAUL])
-    return j.groupBy(C.HAUL).agg(F.count(F.lit(1)).alias("n_rows"), F.count("lf_economy").alias("n_matched"),
-                                 r6(F.sum("lf_economy")).alias("lf_sum"))
+    """Load factor by the most specific of 5, 4 and 3 keys: haul drifts between the sources, carrier codes are renamed."""
+    three = ["flight_month", C.FLIGHT, C.CABIN]
+    s = x.survey.select(S.month_start(C.DATE).alias("flight_month"), C.FLIGHT, C.CABIN, C.HAUL, C.CARRIER)
+    j = joins.fallback_join(s, td.load_factor_by_carrier(x.spark, x.sf_dir),
+                            [[*three, C.HAUL, C.CARRIER], [*three, C.CARRIER], three], ["pax", "capacity"])
+    return j.groupBy(C.HAUL, "match_level").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                r6(F.sum(S.safe_ratio("pax", "capacity"))).alias("lf_sum"))
 
 
 @register("join_dictionary", BASE + """

@@ -24,8 +24,22 @@ class Query:
 
 
 QUERIES: dict[str, Query] = {}
-#: (application, input folder, time zone, step) -> the folder of the step's table.
-_STEPS: dict[tuple[str, str, str, str], str] = {}
+#: (application, state of the input, time zone, step) -> the folder of the step's table.
+_STEPS: dict[tuple, str] = {}
+# The tables that the step tables and the fitted pair are made of.
+STEP_TABLES = ("lineitem", "orders", "customer")
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Folder, and of each of its step tables the time, bytes and files: another state is another input."""
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = [sf_dir]
+    for name in STEP_TABLES:
+        p = path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = p.getFileSystem(conf)
+        size = fs.getContentSummary(p)
+        out.append((fs.getFileStatus(p).getModificationTime(), size.getLength(), size.getFileCount()))
+    return tuple(out)
 
 
 def register(name: str, sql: str | None = None, note: str = ""):
@@ -88,10 +102,10 @@ class Inputs:
     def _step(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The step's table, written by the first query of the application that needs it and read by all.
 
-        Keyed by input folder and time zone; a table that is gone is written again."""
+        Keyed by the input's state and the time zone, so a rewritten input gives a new table; a table that is gone is written again."""
         if not self.materialize:
             return build()
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.spark.conf.get("spark.sql.session.timeZone"), name)
+        key = (self.spark.sparkContext.applicationId, input_state(self.spark, self.sf_dir), self.spark.conf.get("spark.sql.session.timeZone"), name)
         if key in _STEPS:
             try:
                 return self.spark.read.parquet(_STEPS[key])

@@ -46,6 +46,40 @@ def scan_tolerant(spark: SparkSession, path, schema: T.StructType, header: bool
     return good, bad
 
 
+def scan_outcomes(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
+    """One row per file under ``path``: name, bytes, status, n_good and n_rejected rows.
+
+    status: ``read``, ``empty`` (no bytes) or ``unreadable`` (bytes, but no row came
+    out of it: damaged, or without any data line).  Spark's scans pass over files without bytes,
+    so the names come from the file index, which the driver holds for any read, and the sizes and
+    counts join them.  Of a file that breaks off the rows before the fault count.  Names starting with ``_`` or ``.`` are no data.
+    """
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    rows = (spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("ignoreCorruptFiles", "true").schema(full).csv(path))
+    parsed = F.length(F.concat_ws("|", *[F.col(f.name).cast("string") for f in schema.fields])) >= 0  # see scan_tolerant
+    counts = rows.where(parsed).groupBy(F.col("_metadata.file_path").alias("__file")).agg(
+        F.count_if(F.col(CORRUPT).isNull()).alias("n_good"), F.count_if(F.col(CORRUPT).isNotNull()).alias("n_rejected"))
+    def plain(name):  # the index writes file:///x, the metadata column file:/x
+        return F.regexp_replace(name, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+    index = spark.read.format("binaryFile").load(path)
+    listed = spark.createDataFrame([(f,) for f in index.inputFiles()], "file string")
+    sizes = index.select(F.col("_metadata.file_path").alias("__sized"), F.col("length").alias("__length"))
+    j = (listed.join(sizes, plain("file") == plain("__sized"), "left").join(counts, plain("file") == plain("__file"), "left")
+         .withColumn("n_bytes", F.coalesce("__length", F.lit(0)).cast("bigint")))
+    return j.select("file", "n_bytes", F.when(F.col("n_bytes") == 0, "empty").when(F.col("n_good").isNull(), "unreadable")
+                    .otherwise("read").alias("status"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_good", "n_rejected")])
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, on whatever file system the path names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(content))
+    out.close()
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames whose columns differ; missing columns become NULL."""
     out = frames[0]

@@ -113,6 +113,23 @@ def load_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(*aggs))
 
 
+def load_factor_by_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seats taken and offered by month, flight, cabin, haul and carrier; every seventh flight still has its former carrier's code."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_quantity")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    j = li.filter(F.col("l_suppkey") % 10 != 0).join(od, li.l_orderkey == od.o_orderkey)
+    sk = F.col("l_suppkey")
+    cabin = (F.when(F.col("l_returnflag") == "A", "Business").when(F.col("l_returnflag") == "N", "Premium Economy")
+             .otherwise("Economy"))
+    carrier = (F.when(sk % 7 == 0, "I2").when(F.col("o_orderstatus") == "O", "IB").when(F.col("o_orderstatus") == "F", "YW")
+               .otherwise("XX"))
+    return (j.groupBy(F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("flight_month"),
+                      sk.alias("surveyed_flight_number"), cabin.alias("cabin_in_surveyed_flight"),
+                      F.when(sk % 3 == 0, "LH").when(sk % 3 == 1, "SH").otherwise("MH").alias("haul"),
+                      carrier.alias("operating_airline_code"))
+            .agg(F.sum("l_quantity").alias("pax"), (F.count(F.lit(1)) * 50).alias("capacity")))
+
+
 def issues_dictionary(spark: SparkSession) -> DataFrame:
     """Issue code -> touchpoint dictionary (fixture; a few rows, broadcast-safe)."""
     rows = [("pfl_100_checkin", "iss_checkin_queue"), ("pfl_100_checkin", "iss_checkin_staff"),
