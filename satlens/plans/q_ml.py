@@ -16,8 +16,9 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators import boosting, clean, imputers, metrics as M, models, search, split as SP, stats
+from satlens.operators import boosting, clean, imputers, linear_cv, metrics as M, models, search, split as SP, stats
 from satlens.operators import trees as TR
+from satlens.operators.contributions import linear_contributions
 from satlens.operators.treeshap import tree_shap
 from satlens.plans.oracle_base import MODEL
 from satlens.plans.registry import Inputs, input_state, register, rounded
@@ -139,13 +140,28 @@ def q_param_search(x: Inputs):
     return rounded(trials.withColumn("best", wins))
 
 
+def _cross_validated_lr(x: Inputs, label: str):
+    d = SP.kfold_ids(x.model_input, 5, [C.PROMOTER], seed=1)
+    return d, linear_cv.cross_validate_lr(d, C.FEATURES, label)
+
+
 @register("train_lr")
 def q_train_lr(x: Inputs):
-    feats = C.FEATURES
-    sp = SP.split_stratified(x.model_input.withColumn("year", F.year(C.DATE)), ["year"], 0.2, 0.2, seed=0)
-    model = models.logistic(sp.filter(F.col("split") == "train"), feats, C.PROMOTER)
-    scored = models.probability(sp.select(*feats, C.PROMOTER, "split", C.CABIN, C.HAUL), model, "__p")
-    return rounded(M.binary_metrics(scored, C.PROMOTER, "__p", ["split", C.CABIN, C.HAUL]))
+    """Five folds of the promoter's logistic regression: metrics of the rows held out, by fold and segment."""
+    d, folds = _cross_validated_lr(x, C.PROMOTER)
+    scored = x.persist(linear_cv.held_out(d.select("fold", *C.SEGMENT, *C.FEATURES, C.PROMOTER), folds, "__p"), "lr-scores")
+    by = ["fold", *C.SEGMENT]
+    report = M.class_report(scored, C.PROMOTER, "__p", by).drop("tp", "fp", "fn", "tn")
+    return rounded(M.binary_metrics(scored, C.PROMOTER, "__p", by).join(report, by))
+
+
+@register("train_lr_shap")
+def q_train_lr_shap(x: Inputs):
+    """The folds' mean model, explained: contributions of every respondent's features to the log-odds."""
+    _, folds = _cross_validated_lr(x, C.PROMOTER)
+    m = linear_cv.mean_model(folds)
+    t = linear_contributions(x.model_input, m.weights, "_prom", intercept=m.intercept, fill=m.fills)
+    return rounded(t.select(C.ID, *[f"{f}_prom" for f in C.FEATURES], "base_value_prom", "out_value_prom", "out_prob_prom"))
 
 
 @register("model_roundtrip")
