@@ -16,10 +16,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators import boosting, clean, imputers, linear_cv, metrics as M, models, search, split as SP, stats
+from satlens.operators import boosting, clean, daily, imputers, linear_cv, metrics as M, models, search, split as SP, stats
 from satlens.operators import trees as TR
 from satlens.operators.contributions import linear_contributions
-from satlens.operators.treeshap import tree_shap
+from satlens.operators.treeshap import explain_many
 from satlens.plans.oracle_base import MODEL
 from satlens.plans.registry import Inputs, input_state, register, rounded
 from satlens.plans.scoring import predict_and_explain
@@ -73,11 +73,14 @@ def q_score_pair(x: Inputs):
 
 @register("tree_shap")
 def q_tree_shap(x: Inputs):
+    """Both models' contributions; efficiency_error: how far the worse one's sum is from the log-odds."""
     pair = _pair(x)
-    t = tree_shap(x.model_input, pair[C.PROMOTER], C.FEATURES, "_prom")
-    t = TR.margins(t, {"__m": pair[C.PROMOTER]}, C.FEATURES)
-    return rounded(t.select(C.ID, *[f"{f}_prom" for f in C.FEATURES], "base_value_prom", "out_value_prom",
-                            F.abs(F.col("out_value_prom") - F.col("__m")).alias("efficiency_error")))
+    models_of = {"_prom": pair[C.PROMOTER], "_det": pair[C.DETRACTOR]}
+    t = explain_many(x.model_input, models_of, C.FEATURES)
+    t = TR.margins(t, {f"__m{s}": trees for s, trees in models_of.items()}, C.FEATURES)
+    error = F.greatest(*[F.abs(F.col(f"out_value{s}") - F.col(f"__m{s}")) for s in models_of])
+    return rounded(t.select(C.ID, *[f"{c}{s}" for s in models_of for c in [*C.FEATURES, "base_value", "out_value"]],
+                            error.alias("efficiency_error")))
 
 
 @register("virtual_ensemble")
@@ -112,6 +115,18 @@ def q_score_quarters(x: Inputs):
                                             F.avg("uncertainty_nps").alias("mean_uncertainty_nps")))
 
 
+@register("score_daily")
+def q_score_daily(x: Inputs):
+    """A backfill of all days: in 1997 by a pair fitted to the end of 1996, from 2000 on by the pair of all rows; none before."""
+    _pair(x)
+    root, store = (scratch_path(x.spark, f"{n}/{uuid.uuid4().hex}") for n in ("daily-models", "daily-scored"))
+    early = models.train_pair(x.model_input.where(F.col(C.DATE) < dt.date(1997, 1, 1)), params={**QUERY_GBT, "maxIter": 15})
+    daily.save_pair(x.spark, root, "1997-01-01", early)
+    daily.save_pair(x.spark, root, "2000-01-01", x._models)
+    daily.score_days(x.model_input, root, store, "1900-01-01", "2100-01-01", SCORED_COLUMNS)
+    return rounded(x.spark.read.parquet(store).select(*SCORED_COLUMNS))
+
+
 @register("cv_scores")
 def q_cv_scores(x: Inputs):
     """Both labels, five folds: each fold's model is cut at its best round; all metrics come from rows it did not see."""

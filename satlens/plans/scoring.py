@@ -54,15 +54,20 @@ def predict_and_explain(df: DataFrame, trees_prom, trees_det, features=C.FEATURE
     (columns pass through); then the probability-scale rescale, the promoter -
     detractor merge and lineage columns.  Narrow plan: no shuffle.
     """
-    from satlens.functions.scalar import inv_logit
     from satlens.operators.treeshap import explain_many
 
-    t = explain_many(df, {"_prom": trees_prom, "_det": trees_det}, features, ensemble_step=step)
+    t = nps_columns(explain_many(df, {"_prom": trees_prom, "_det": trees_det}, features, ensemble_step=step), features)
+    for k, v in (lineage or {}).items():
+        t = t.withColumn(k, F.lit(v))
+    return t
+
+
+def nps_columns(t: DataFrame, features=C.FEATURES) -> DataFrame:
+    """Probabilities, contributions in probability units and the promoter - detractor merge of explained rows."""
+    from satlens.functions.scalar import inv_logit
+
     t = t.withColumns({"out_prob_prom": inv_logit(F.col("out_value_prom")),
                        "out_prob_det": inv_logit(F.col("out_value_det"))})
     t = to_probability(t, features, "_prom")
     t = to_probability(t, features, "_det")
-    t = nps_merge(t, features)
-    for k, v in (lineage or {}).items():
-        t = t.withColumn(k, F.lit(v))
-    return t
+    return nps_merge(t, features)
