@@ -212,8 +212,9 @@ def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFra
                                                                             F.lit(r")(?![\p{L}]|-\p{L})"))))
     found = found.withColumn("_found", F.when(F.col("_more").isNull(), F.col("_found"))
                              .otherwise(F.regexp_extract_all("_text", F.col("_more"), F.lit(0))))
-    each = (found.where(F.size("_found") > 0)
-            .select(F.sha2("_text", 256).alias("sha"), "_more", F.posexplode("_found").alias("pos", "value"))
+    # the outer form: a filter on the size of _found would be pushed below it, and scan each text once for every mention
+    each = (found.select(F.sha2("_text", 256).alias("sha"), "_more", F.posexplode_outer("_found").alias("pos", "value"))
+            .where("value is not null")
             .withColumn("type", kind(F.col("value"))).withColumn("canon", canonical(F.col("type"), F.col("value")))
             .dropDuplicates(["sha", "pos"]))
     each = materialize(each, "found")
