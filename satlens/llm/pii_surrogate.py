@@ -55,7 +55,7 @@ _NAMES = "|".join(n for names in GIVEN.values() for n in names)
 #: type -> pattern; the first that matches a value wins.  Repeated groups are bounded (a domain has 127 labels at most), as
 #: Java walks them by recursion; only single characters repeat without bound.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,125}\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,125}\.\p{L}{2,}",
     "ipv4": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\p{L}\p{N}])",
     "card": r"(?<![\p{L}\p{N}])(?:\d{4}(?<gap>[ -])\d{4}\k<gap>\d{4}\k<gap>\d{4}(?:\k<gap>\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19})(?![\p{L}\p{N}])",
@@ -67,15 +67,18 @@ PATTERNS = {
     "given": rf"(?=[A-ZА-Я])(?<!\p{{L}})(?:{_NAMES})(?!\p{{L}})",
     "surname": rf"(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})\.? )\p{{Lu}}\p{{Ll}}+(?:-\p{{Lu}}\p{{Ll}}+)?(?!\p{{L}})",
 }
-#: All of them; nothing but a digit, a @ or a capital begins one, so that most places fail at once.
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: All of them, in order.  Behind a letter or digit only two types can begin, so that places inside words fail at once.
+ANY = (r"(?=[\p{L}\p{N}._%+(-])(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in PATTERNS.values()) + ")"
+       rf"|(?=[0-9A-ZА-Я])(?:(?:{PATTERNS['ipv4']})|(?:{PATTERNS['given']}))")
 _CARD = r"^\d{13,19}$|^\d{4}([ -])\d{4}\1\d{4}\1\d{4}(\1\d{3})?$|^\d{4}[ -]\d{6}[ -]\d{4,5}$"
 #: Country codes of E.164 have one to three digits; they and a trunk 0 with the digit after it stay as they are.
 _KEPT = r"^(?:\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})|0{1,2}[1-9])"
 
 SURNAME = r"^\p{Lu}\p{Ll}+(-\p{Lu}\p{Ll}+)?$"
-#: Whether a text can have an entity at all; names are only tried where a word begins with a capital.
-MAY_HAVE = rf"[0-9@]|(?=[A-ZА-Я])(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})(?!\p{{L}})"
+#: One of these is in every text with an entity: a @, the start of an address, seven digits with at most two signs between
+#: neighbours, a long hexadecimal run, a name or form of address; names are only tried where a word begins with a capital.
+NEEDED = [r"@", r"[0-9]\.[0-9]{1,3}\.", r"[0-9](?:[ ./()-]{0,2}[0-9]){6}", r"[0-9a-f]{32}|[0-9A-F]{32}",
+          rf"(?=[A-ZА-Я])(?<!\p{{L}})(?:{_NAMES}|{'|'.join(ADDRESS)})(?!\p{{L}})"]
 
 LATIN_LOWER = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC_LOWER = "абвгдежзиклмнопрстуфхцшэюя"
@@ -204,7 +207,7 @@ def surrogates(entities: DataFrame, key: str, most_rounds: int = 100) -> DataFra
 def replace_pii(docs: DataFrame, key: str, *, text_col: str = "text") -> DataFrame:
     """``docs`` with every entity of ``text_col`` replaced; all columns and rows are kept."""
     text = F.col(text_col)
-    has = F.coalesce(text.rlike(MAY_HAVE), F.lit(False))
+    has = F.coalesce(reduce(Column.__or__, [text.rlike(p) for p in NEEDED]), F.lit(False))
     found = docs.where(has).select(text.alias("_text")).withColumn("_found", F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)))
     surnames = F.array_distinct(F.filter("_found", lambda v: v.rlike(SURNAME) & ~v.isin([n for names in GIVEN.values() for n in names])))
     # surnames have letters and hyphens only; where the text has them alone they are the same entities

@@ -1,6 +1,7 @@
 """Join, quality rules, surrogates, mixing and toxicity against plain Python."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -376,3 +377,19 @@ def test_toxicity_without_labels_of_both_kinds(spark):
     for labels in ([], [(1, 0), (2, 0)]):
         chain = toxicity.fit_chain(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), toxicity.default_categories())
         assert not any(r["toxic"] for r in chain.score(frame(spark, rows)).collect())
+
+
+def test_scan_finds_what_its_patterns_find_one_by_one(spark):
+    """The joined pattern against the plain alternatives, and the tests before it, on random strings of telling pieces."""
+    rng = random.Random(9)
+    pieces = ["a", "Z", "é", "Ж", "0", "7", "12", "255", "4111", "1234567", "0" * 32, "DEADBEEF" * 4, "beef" * 8, "@", ".", "-", "+", "_", "%", " ", "  ", "(", ")",
+              "/", "\n", "Anna", "Иван", "Mary", "Dr", "Mr. ", "Ivanov", "Smith-Jones", "x@y.org", "10.0.0.1", "4111 1111 1111 1111", "017 555-7713", "+44 20 7946 0958",
+              "06 12 34 56 78", "12.03.2001", "1.2.3.4@h.de"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 14))) for _ in range(20_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = "|".join(f"(?:{p})" for p in pii_surrogate.PATTERNS.values())
+    found = lambda p: F.regexp_extract_all("text", F.lit(p), F.lit(0))
+    needed = F.exists(F.array(*[F.col("text").rlike(p) for p in pii_surrogate.NEEDED]), lambda x: x)
+    got = df.agg(F.count_if(found(plain) != found(pii_surrogate.ANY)).alias("other"), F.count_if((F.size(found(plain)) > 0) & ~needed).alias("missed"),
+                 F.count_if(F.size(found(plain)) > 0).alias("with"), F.count_if(~needed).alias("without")).first()
+    assert got["other"] == 0 and got["missed"] == 0 and got["with"] > 5000 and got["without"] > 1000
