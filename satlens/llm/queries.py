@@ -79,13 +79,15 @@ WITH p AS (
 f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
 SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN p.page_id <> f.first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+       CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to,
+       coalesce(p.page_id % 64 = 0, false) AS after_gap
 FROM p LEFT JOIN f ON p.payload_bytes >= 100 AND p.payload_digest = f.payload_digest""")
 def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "warc")
-    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    # a damaged copy before every 64th page: the reader has to log it as a gap and find the page behind it
+    warc.write_warc(table(spark, sf_dir, "pages"), folder, damaged_copy_every=64)
     found = warc.read_warc(spark, folder, payloads=False).where("kind = 'record'")
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "after_gap")
 
 
 @query("op1_toxicity_chain")

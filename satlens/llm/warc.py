@@ -6,12 +6,18 @@ the payload.  Every record is a gzip member of its own; a task closes a file
 after ``FILE_BYTES``.  Rows are sorted in each task, so that a task that is run
 again writes the same files.
 
-Reading: a member or record that fails a check (gzip checksum, version line,
-headers, length, block or payload digest) opens a gap.  The reader searches from
-the next byte on for a gzip magic number or a version line that begins a valid
-record; there the gap ends, is logged with its bytes and the failed check, and
-reading goes on.  Records that were whole before a damage inside a member of
-several records are kept.
+Reading: a member or record that fails a check (gzip head, checksum and length,
+version line, headers, mandatory fields, type, length, block or payload digest)
+opens a gap.  The reader searches from the next byte on for a gzip magic number
+or a version line that begins a valid record; there the gap ends, is logged with
+its bytes and the failed check, and reading goes on.  Inside a member of several
+records the search is for version lines: the records around a damage come back,
+and the gap has ``inner_start`` and ``inner_stop``, the lost bytes of what the
+member holds (no ``inner_stop`` where the rest of it could not be unpacked).
+Records of a member whose checksum fails carry that as their ``reason``, as
+nothing vouches for their headers; a member of one record is then lost whole.
+``after_gap`` marks the first record behind a gap.  A whole archive is held in
+memory by the task that reads it.
 
 Null payloads are empty ones; a null url leaves out the target URI; a row
 without an id is always a response and is read back without one; rows that
@@ -24,6 +30,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -39,8 +47,13 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/"
 CANDIDATE = re.compile(rb"\x1f\x8b\x08|WARC/")
 VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
+NAME_BYTES = 1024  # file names and comments in gzip heads may be this long
+# What the format demands of every record, and its record types.
+MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
+TYPES = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 FIELDS = ("path string, kind string, start bigint, stop bigint, reason string, page_id bigint, record_type string, "
-          "refers_to bigint, target_uri string, payload_bytes bigint, payload_digest string, payload binary")
+          "refers_to bigint, target_uri string, payload_bytes bigint, payload_digest string, payload binary, "
+          "inner_start bigint, inner_stop bigint, after_gap boolean")
 
 
 # -- records -----------------------------------------------------------------
@@ -81,12 +94,16 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
             raise Damage("bad header line")
         head[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
         pos = end + 2
-    if not head.get("content-length", "").isdigit():
+    if missing := [k for k in MANDATORY if not head.get(k)]:
+        raise Damage(f"no {missing[0]}")
+    if head["warc-type"] not in TYPES or (head["warc-type"] == "revisit" and "warc-profile" not in head):
+        raise Damage("unknown record type" if head["warc-type"] not in TYPES else "no warc-profile")
+    if not re.fullmatch(r"[0-9]{1,18}", head["content-length"]):
         raise Damage("no content length")
     start, size = end + 2, int(head["content-length"])
-    block = data[start:start + size]
-    if len(block) < size or data[start + size:start + size + 4] != b"\r\n\r\n":
+    if data[start + size:start + size + 4] != b"\r\n\r\n":
         raise Damage("wrong content length")
+    block = data[start:start + size]
     if (want := head.get("warc-block-digest", "")).startswith("sha256:") and want[7:] != hashlib.sha256(block).hexdigest():
         raise Damage("block digest differs")
     http, gap, payload = block.partition(b"\r\n\r\n")
@@ -104,64 +121,131 @@ def parse(data: bytes, at: int) -> tuple[dict, int]:
             "payload": payload}, start + size + 4
 
 
-def member(data: bytes, at: int) -> tuple[bytes, int, str | None]:
-    """What the gzip member at ``at`` holds, where it ends, and what is wrong with it."""
-    unpack, out, view, pos = zlib.decompressobj(31), [], memoryview(data), at
-    try:
-        while not unpack.eof:
-            if pos >= len(data):
-                return b"".join(out), pos, "member is cut off"
-            out.append(unpack.decompress(view[pos:pos + (1 << 18)]))
-            pos += 1 << 18
-            if len(out) == 1 and out[0] and not out[0].startswith(VERSION):
-                return b"", pos, "member holds no record"
-    except zlib.error as e:
-        return b"".join(out), min(pos, len(data)), f"gzip: {e}"
-    return b"".join(out), min(pos, len(data)) - len(unpack.unused_data), None
-
-
-def records_at(data: bytes, at: int) -> tuple[list[dict], int, str | None]:
-    """Records of the member or the record at ``at``, where they end, and the check that failed, if any."""
-    if data[at:at + 3] != MAGIC:
+class Found(NamedTuple):
+    """A record or a gap: where it is in the file and, for a gzip member, in what the member holds."""
+    kind: str
+    start: int
+    stop: int
+    reason: str | None
+    record: dict | None
+    inner_start: int | None = None
+    inner_stop: int | None = None
+    after_gap: bool = False
+
+
+def plain(data: bytes) -> Iterator[Found]:
+    """Records and gaps of uncompressed data."""
+    at, gap, reason = 0, None, None
+    while at < len(data):
         try:
             got, end = parse(data, at)
-            return [got], end, None
         except Damage as e:
-            return [], at, str(e)
-    inner, end, wrong = member(data, at)
-    found, pos = [], 0
-    while pos < len(inner):
+            if gap is None:
+                gap, reason = at, str(e)
+            later = VERSION_LINE.search(data, at + 1)
+            at = later.start() if later else len(data)
+            continue
+        if gap is not None:
+            yield Found("gap", gap, at, reason, None)
+        yield Found("record", at, end, None, got, after_gap=gap is not None)
+        at, gap = end, None
+    if gap is not None:
+        yield Found("gap", gap, len(data), reason, None)
+
+
+def gzip_head(data: bytes, at: int) -> int:
+    """Where the compressed bytes of the member at ``at`` begin; a false head is left within NAME_BYTES."""
+    if len(data) < at + 18:
+        raise Damage("member is cut off")
+    flags, pos = data[at + 3], at + 10
+    if flags & 0xE0:
+        raise Damage("gzip: reserved flags")
+    if flags & 4:
+        pos += 2 + int.from_bytes(data[pos:pos + 2], "little")
+    for bit in (8, 16):
+        if flags & bit:
+            end = data.find(b"\0", pos, pos + NAME_BYTES)
+            if end < 0:
+                raise Damage("gzip: no end of name")
+            pos = end + 1
+    if flags & 2:
+        if int.from_bytes(data[pos:pos + 2], "little") != zlib.crc32(data[at:pos]) & 0xFFFF:
+            raise Damage("gzip: head checksum differs")
+        pos += 2
+    return pos
+
+
+def inflate(data: bytes, pos: int) -> tuple[bytes, int, str | None]:
+    """What the compressed bytes at ``pos`` hold as far as they can be read, where they end, and what is wrong with them."""
+    view = memoryview(data)
+    try:  # only what begins as a record is worth reading up to the damaged byte
+        worth = zlib.decompressobj(-15).decompress(view[pos:pos + 4096], len(VERSION)) == VERSION
+    except zlib.error:
+        worth = False
+    unpack, out, step = zlib.decompressobj(-15), [], 1 << 18
+    while not unpack.eof:
+        if pos >= len(data):
+            return b"".join(out), len(data), "member is cut off"
+        before = unpack.copy() if step > 1 and worth else None
         try:
-            got, pos = parse(inner, pos)
-            found.append(got)
-        except Damage as e:
-            wrong = wrong or str(e)
-            later = inner.find(b"\r\n\r\n" + VERSION, pos + 1)  # a later record of the same member
-            if later < 0:
-                break
-            pos = later + 4
-    return found, end, wrong
+            out.append(unpack.decompress(view[pos:pos + step]))
+            pos += step
+        except zlib.error as e:
+            if before is None:
+                return b"".join(out), min(pos, len(data)), f"gzip: {e}"
+            unpack, step = before, step >> 9  # once more in smaller pieces: a failed call gives nothing back
+    end, inner = min(pos, len(data)) - len(unpack.unused_data), b"".join(out)
+    trailer = data[end:end + 8]
+    if len(trailer) < 8:
+        return inner, len(data), "member is cut off"
+    whole = trailer == zlib.crc32(inner).to_bytes(4, "little") + (len(inner) & 0xFFFFFFFF).to_bytes(4, "little")
+    return inner, end + 8, None if whole else "gzip: checksum or length differs"
 
 
-def salvage(data: bytes):
-    """Yields ("record", start, stop, None, record) and ("gap", start, stop, reason, None) over a whole file."""
-    at, gap, reason = 0, None, None
+def member(data: bytes, at: int) -> tuple[list[Found], int, str | None, int | None]:
+    """Records and inner gaps of the member at ``at``, where reading goes on, what is wrong, and from which inner byte on it is lost."""
+    try:
+        inner, end, wrong = inflate(data, gzip_head(data, at))
+    except Damage as e:
+        return [], at + 1, str(e), None
+    parts = list(plain(inner))
+    records = [p for p in parts if p.kind == "record"]
+    if not wrong and (records or not inner):
+        lost = None
+    elif len(records) > 1 or (records and inner.startswith(VERSION, records[0].stop)):
+        lost = parts.pop().start if parts[-1].kind == "gap" else len(inner)
+    else:  # all of it
+        return [], at + 1 if wrong else end, wrong or parts[0].reason, None
+    return ([Found(p.kind, at, end, p.reason or wrong, p.record, p.start, p.stop, p.after_gap) for p in parts],
+            at + 1 if wrong else end, wrong, lost)
+
+
+def salvage(data: bytes) -> Iterator[Found]:
+    """Records and gaps over a whole file."""
+    at, gap = 0, None
     while at < len(data):
-        found, end, wrong = records_at(data, at)
-        if found and gap is not None:
-            yield "gap", gap, at, reason, None
+        if data[at:at + 3] == MAGIC:
+            parts, end, wrong, lost = member(data, at)
+        else:
+            try:
+                got, end = parse(data, at)
+                parts, wrong, lost = [Found("record", at, end, None, got)], None, None
+            except Damage as e:
+                parts, end, wrong, lost = [], at + 1, str(e), None
+        if parts and gap:
+            yield gap._replace(stop=at)
+            if parts[0].kind == "record":
+                parts[0] = parts[0]._replace(after_gap=True)
             gap = None
-        for got in found:
-            yield "record", at, end, None, got
+        yield from parts
         if not wrong:
             at = end
             continue
-        if gap is None:
-            gap, reason = at, wrong
-        later = CANDIDATE.search(data, at + 1)
+        gap = gap or Found("gap", at, len(data), wrong, None, lost)
+        later = CANDIDATE.search(data, end)
         at = later.start() if later else len(data)
-    if gap is not None:
-        yield "gap", gap, len(data), reason, None
+    if gap:
+        yield gap
 
 
 # -- Spark -------------------------------------------------------------------
@@ -172,12 +256,16 @@ def with_types(pages: DataFrame, id_col: str, url_col: str, payload_col: str) ->
     p = p.withColumns({"digest": F.sha2("html", 256), "size": F.octet_length("html").cast("long")})
     first = (p.where(F.col("size") >= REVISIT_BYTES).groupBy(F.col("digest").alias("of"))
              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null"))
-    joined = p.join(first, F.col("digest") == F.col("of"), "left")
+    # payloads too small for a revisit meet nothing; keys of their own keep the many empty ones out of one task
+    key = F.when(F.col("size") >= REVISIT_BYTES, F.col("digest")).otherwise(F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string")))
+    joined = p.join(first, key == F.col("of"), "left")
     return joined.withColumn("refers_to", F.when(F.col("page_id") != F.col("first"), F.col("first"))).drop("of", "first", "n")
 
 
 def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: str = "url",
-               payload_col: str = "html") -> None:
+               payload_col: str = "html", damaged_copy_every: int = 0) -> None:
+    """Archives of all pages.  A record whose id is divisible by ``damaged_copy_every`` comes behind a copy with one changed
+    byte, which every reading has to find out and leave (0: none)."""
     def run(batches):
         rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
         names, row, number = [], next(rows, None), 0
@@ -186,7 +274,11 @@ def write_warc(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_co
             with committed(folder, name) as out:
                 while row and out.tell() < FILE_BYTES:
                     page_id, url, html, digest, size, refers_to = row
-                    out.write(record(page_id, url, html.encode(), digest, size, refers_to))
+                    whole = record(page_id, url, html.encode(), digest, size, refers_to)
+                    if damaged_copy_every and page_id is not None and page_id % damaged_copy_every == 0:
+                        middle = len(whole) // 2
+                        out.write(whole[:middle] + bytes([whole[middle] ^ 0xFF]) + whole[middle + 1:])
+                    out.write(whole)
                     row = next(rows, None)
             names.append(name)
             number += 1
@@ -203,13 +295,14 @@ def read_warc(spark: SparkSession, folder: str, *, payloads: bool = True) -> Dat
         for b in batches:
             for path, content in zip(b.column(0).to_pylist(), b.column(1)):
                 out, held = [], 0
-                for kind, start, stop, reason, got in salvage(content.as_py()):
-                    got = got or dict.fromkeys(("page_id", "record_type", "refers_to", "target_uri", "payload_bytes",
+                for f in salvage(content.as_py()):
+                    got = f.record or dict.fromkeys(("page_id", "record_type", "refers_to", "target_uri", "payload_bytes",
                                                 "payload_digest", "payload"))
                     held += len(got["payload"] or b"")
                     if not payloads:
                         got["payload"] = None
-                    out.append({"path": path, "kind": kind, "start": start, "stop": stop, "reason": reason} | got)
+                    out.append({"path": path, "kind": f.kind, "start": f.start, "stop": f.stop, "reason": f.reason,
+                                "inner_start": f.inner_start, "inner_stop": f.inner_stop, "after_gap": f.after_gap} | got)
                     if held > 8 << 20:
                         yield pa.RecordBatch.from_pylist(out, schema=SCHEMA)
                         out, held = [], 0
@@ -220,5 +313,5 @@ def read_warc(spark: SparkSession, folder: str, *, payloads: bool = True) -> Dat
     return files.select("path", "content").mapInArrow(run, FIELDS)
 
 
-SCHEMA = pa.schema([(n, {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[t])
+SCHEMA = pa.schema([(n, {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}[t])
                     for n, t in (f.split() for f in FIELDS.split(", "))])

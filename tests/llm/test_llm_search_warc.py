@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -134,7 +135,7 @@ def test_salvage_of_plain_records_and_of_one_member():
     one = whole.compress(bytes(data)) + whole.flush()
     assert read(one)[0] == [i for i in range(40) if i != 3]
     ids, gaps = read(one[:len(one) // 2])
-    assert ids[:3] == [0, 1, 2] and len(gaps) == 1
+    assert ids[:3] == [0, 1, 2] and len(gaps) == 2  # record 3, and the part that is cut off
 
 
 def test_salvage_of_nothing():
@@ -149,3 +150,58 @@ def test_urls_of_any_length_come_back():
         got = list(warc.salvage(data))
         assert [(g[4]["page_id"], g[4]["target_uri"]) for g in got if g[0] == "record"] == [(5, url)]
         assert sum(g[0] == "gap" for g in got) == gaps
+
+
+def test_gaps_inside_a_member_have_its_bytes():
+    plain = [zlib.decompress(m, 31) for m in archive(5)]
+    at = [0, *np.cumsum([len(p) for p in plain]).tolist()]
+    pack = lambda b: (c := zlib.compressobj(6, zlib.DEFLATED, 31)).compress(bytes(b)) + c.flush()
+    for spoilt, ids in ((0, [1, 2, 3, 4]), (2, [0, 1, 3, 4]), (4, [0, 1, 2, 3])):
+        data = bytearray(b"".join(plain))
+        data[at[spoilt] + (0 if spoilt == 0 else 400)] ^= 1
+        one = pack(data)
+        found = list(warc.salvage(one + pack(plain[0])))
+        assert [f.record["page_id"] for f in found if f.kind == "record"] == [*ids, 0]
+        assert [f[1:3] + f[5:7] for f in found if f.kind == "gap"] == [(0, len(one), at[spoilt], at[spoilt + 1])]
+        assert [f.record["page_id"] for f in found if f.after_gap] == [i for i in ids if i == spoilt + 1]
+        assert all(f[5:7] == (at[f.record["page_id"]], at[f.record["page_id"] + 1]) for f in found[:-1] if f.kind == "record")
+    one = bytearray(pack(b"".join(plain)))
+    one[-6] ^= 1  # checksum: the records say so, the end is a gap; a member of one record is lost
+    found = list(warc.salvage(bytes(one) + pack(plain[1])))
+    assert [(f.record["page_id"], f.reason is None) for f in found if f.kind == "record"] == [*((i, False) for i in range(5)), (1, True)]
+    assert [f[1:3] + f[5:7] for f in found if f.kind == "gap"] == [(0, len(one), at[5], None)]
+    alone = bytearray(pack(plain[0]))
+    alone[-6] ^= 1
+    assert read(bytes(alone) + pack(plain[1])) == ([1], [(0, len(alone), "gzip: checksum or length differs")])
+
+
+def test_one_changed_byte_is_a_gap_wherever_it_is():
+    """Members: every byte of the deflate stream and its trailer; bare records: the mandatory fields' names and the type."""
+    members = archive(3)
+    for place in range(10, len(members[1])):
+        spoilt = members[1][:place] + bytes([members[1][place] ^ 4]) + members[1][place + 1:]
+        assert read(members[0] + spoilt + members[2])[0] == [0, 2]
+    plain = [zlib.decompress(m, 31) for m in members]
+    for old, new in ((b"WARC-Type:", b"WARC-Typf:"), (b": response", b": rfsponse"), (b"WARC-Record-ID", b"WARC-Recorc-ID"), (b"WARC-Date", b"WARB-Date")):
+        spoilt = plain[1].replace(old, new, 1)
+        ids, gaps = read(plain[0] + spoilt + plain[2])
+        assert ids == [0, 2] and [g[:2] for g in gaps] == [(len(plain[0]), len(plain[0]) + len(spoilt))]
+
+
+def test_many_false_heads_take_little_time():
+    body = b"page"
+    good = warc.record(5, "http://a", body, hashlib.sha256(body).hexdigest(), len(body), None)
+    began = time.perf_counter()
+    for rest, reason in ((b"\1" * 6, "gzip: no end of name"), (b"\0" * 6, "gzip: Error -3 while decompressing data: invalid stored block lengths")):
+        junk = (b"\x1f\x8b\x08\x18" + rest + b"ab") * 50_000  # names and comments without end, and ended ones before no stream
+        assert read(junk + good) == ([5], [(0, len(junk), reason)])
+    assert time.perf_counter() - began < 30
+
+
+def test_damaged_copies_are_logged_and_left(spark):
+    rows = [(i, "u", "p" * (i % 300)) for i in range(-70, 200)] + [(None, "u", "x")]
+    folder = shared_path(spark, "warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), folder, damaged_copy_every=10)
+    got = warc.read_warc(spark, folder, payloads=False).collect()
+    assert Counter(r["page_id"] for r in got if r["kind"] == "record") == Counter(i for i, _, _ in rows)
+    assert {r["page_id"] for r in got if r["after_gap"]} == set(range(-70, 200, 10)) and sum(r["kind"] == "gap" for r in got) == 27
