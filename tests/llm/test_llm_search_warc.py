@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from satlens.llm import balltree, warc
@@ -34,14 +35,14 @@ def vectors(n, dim, seed):
     return [(i, [float(np.float32(x)) for x in row / np.linalg.norm(row)]) for i, row in enumerate(v)]
 
 
-@pytest.mark.parametrize("shard_rows, block_queries", [(4096, 4096), (150, 4)])
-def test_top_k(spark, shard_rows, block_queries):
+@pytest.mark.parametrize("shard_rows, block_queries, most_pivots", [(4096, 4096, 1024), (150, 4, 1024), (90, 4, 2)])
+def test_top_k(spark, shard_rows, block_queries, most_pivots):
     rows = vectors(900, 16, 1)
     same = rows[7][1]
     rows += [(1000 + i, same) for i in range(30)] + [(2000, None), (2001, [None] * 16), (2002, [float("nan")] * 16), (2003, [float("inf")] * 16),
                                                    (None, same), (2100, same[:3]), (2200, same[:3]), (2101, []), (2300, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = balltree.top_k(df, lambda i: i % 100 == 0, 10, shard_rows=shard_rows, block_queries=block_queries).collect()
+    got = balltree.top_k(df, lambda i: i % 100 == 0, 10, shard_rows=shard_rows, block_queries=block_queries, most_pivots=most_pivots).collect()
     assert sorted(map(tuple, got)) == brute(rows, 10, lambda i: i % 100 == 0)
 
 
@@ -67,6 +68,24 @@ def test_tree_prunes():
     assert sorted(zip(-scores, ids)) == want and sum(seen) < 2000
 
 
+def test_cells_below_the_kth_score_are_left_out():
+    """Every dropped cell holds no candidate of the least score; of clusters far apart, most are dropped."""
+    rng = np.random.default_rng(5)
+    v = np.floor(np.repeat(1000 * np.eye(8), 100, axis=0) + rng.integers(-50, 50, (800, 8)))
+    pivots = {8: v[::100]}
+    df = pd.DataFrame({"vec_id": np.arange(800), "dim": 8, "v": list(v)})
+    told = pd.concat(balltree._assigned(pivots)([df]))
+    each = told.groupby("cell").agg(away=("away", "max"), norm=("norm", "max")).reset_index()
+    cells = {8: (each["cell"].to_numpy(), each["away"].to_numpy() + 1e-6, each["norm"].to_numpy())}
+    least = np.sort(v @ v.T, axis=1)[:, -11]
+    q = pd.DataFrame({"own": np.arange(800), "width": 8, "query": list(v), "home_cell": 0, "home": 0, "least": least})
+    pairs = pd.concat(balltree._reaching(pivots, cells)([q]))
+    met = set(zip(pairs["own"], pairs["cell"]))
+    score, cell = v @ v.T, told.sort_values("vec_id")["cell"].to_numpy()
+    assert all((i, cell[j]) in met for i in range(800) for j in np.nonzero(score[i] >= least[i])[0])
+    assert len(met) < 800 * 8 / 4
+
+
 # -- archives ----------------------------------------------------------------
 def test_write_and_read(spark):
     long = "<p>" + "é" * 100 + "</p>"
