@@ -9,6 +9,7 @@ the pass: a row is scored by the models that held its fold out.
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satlens import config as C
+from satlens.operators import clean
+from satlens.operators import split as SP
 from satlens.operators import trees as TR
 from satlens.operators.models import VEC, assemble, gbt
 
@@ -149,3 +152,22 @@ def refit(df: DataFrame, kept: Sequence[Kept], features: Sequence[str] = C.FEATU
     data = assemble(df, features)
     rounds = {label: int(np.median([m.best_round for m in kept if m.label == label])) for label in dict.fromkeys(m.label for m in kept)}
     return {label: gbt(label, {**(params or {}), "maxIter": n}).fit(data) for label, n in rounds.items()}
+
+
+@dataclass(frozen=True)
+class Windowed:
+    """A training run over a window of dates: its rows with their split (and fold, for train rows), kept and final models."""
+    rows: DataFrame
+    kept: list[Kept]
+    models: dict
+
+
+def train_window(df: DataFrame, start: dt.date, end: dt.date, features: Sequence[str] = C.FEATURES, labels: Sequence[str] = C.LABELS, *,
+                 k: int = 5, test: float = 0.2, params: Mapping | None = None, patience: int | None = None, seed: int = 0) -> Windowed:
+    """Fits on the days in [start, end): test rows by year, ``k`` folds of the others, final models of all train rows."""
+    window = clean.filter_range(df, C.DATE, start, end, closed="left").withColumn("year", F.year(C.DATE))
+    split = SP.split_stratified(window, ["year"], test, 0.0, seed=seed)
+    train = SP.kfold_ids(split.where(F.col("split") == "train"), k, [labels[0]], seed=seed + 1)
+    kept = cross_validate(train, features, labels, k=k, params=params, patience=patience)
+    rows = train.unionByName(split.where(F.col("split") != "train"), allowMissingColumns=True)
+    return Windowed(rows, kept, refit(train, kept, features, params))

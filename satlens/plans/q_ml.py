@@ -295,15 +295,16 @@ def q_champion_gate(x: Inputs):
 
 @register("train_window")
 def q_train_window(x: Inputs):
-    """Date-windowed training run: fit the pair on [1996-01-01, 2000-01-01),
-    then train / test metrics per label and cabin x haul segment."""
-    mi = clean.filter_range(x.model_input, C.DATE, dt.date(1996, 1, 1), dt.date(2000, 1, 1), closed="left")
-    sp = SP.split_stratified(mi.withColumn("year", F.year(C.DATE)), ["year"], 0.2, 0.0, seed=0)
-    fitted = models.train_pair(sp.filter(F.col("split") == "train"), params=QUERY_GBT)
+    """Date-windowed training run on [1996-01-01, 2000-01-01) with three folds: metrics per label and cabin x haul segment,
+    of held-out rows by the folds' kept models, of train and test rows by the final ones."""
+    run = boosting.train_window(x.model_input, dt.date(1996, 1, 1), dt.date(2000, 1, 1), k=3, params=QUERY_GBT, patience=10)
+    rows = x.persist(run.rows.select("split", "fold", *C.FEATURES, *C.LABELS, C.CABIN, C.HAUL), "window-rows")
+    held = x.persist(boosting.held_out_scores(rows.where("fold is not null"), run.kept), "window-held-out")
     parts = []
-    for lab, m in fitted.items():
-        trees = TR.read_trees(x.spark, m)
-        s = x.persist(TR.score(sp.select(*C.FEATURES, *C.LABELS, "split", C.CABIN, C.HAUL), trees, C.FEATURES, "__p"),
-                      f"window-scores-{lab}")
-        parts.append(M.binary_metrics(s, lab, "__p", ["split", C.CABIN, C.HAUL]).withColumn("label", F.lit(lab)))
+    for lab, m in run.models.items():
+        s = x.persist(TR.score(rows, boosting.node_trees(m), C.FEATURES, "__p"), f"window-scores-{lab}")
+        both = (s.select("split", lab, "__p", C.CABIN, C.HAUL)
+                .unionByName(held.select(F.lit("held out").alias("split"), lab, F.col(f"p_{lab}").alias("__p"), C.CABIN, C.HAUL)))
+        parts.append(M.binary_metrics(both, lab, "__p", ["split", C.CABIN, C.HAUL]).withColumns(
+            {"label": F.lit(lab), "rounds": F.lit(m.getNumTrees)}))
     return rounded(parts[0].unionByName(parts[1]))

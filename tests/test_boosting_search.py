@@ -1,5 +1,7 @@
 """Early stopping by truncation, kept models and the halving search."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -93,3 +95,22 @@ def test_search_query(spark, monkeypatch):
     monkeypatch.setattr(q_ml.search, "search", lambda d, **kw: whole(d, **{**kw, "trials": 6}))
     rows = runner("param_search")(spark, "/root/testdata/sf0.001").collect()
     assert sum(r["best"] for r in rows) == 2 and {r["label"] for r in rows} == set(C.LABELS)
+
+
+def test_window_uses_its_own_days_only(inputs):
+    start, end = dt.date(1996, 1, 1), dt.date(1998, 1, 1)
+    inside = inputs.model_input.where((F.col(C.DATE) >= F.lit(start)) & (F.col(C.DATE) < F.lit(end)))
+    one, two = (boosting.train_window(d, start, end, labels=[C.PROMOTER], k=2, params=PARAMS) for d in (inputs.model_input, inside))
+    assert [m.losses.tolist() for m in one.kept] == [m.losses.tolist() for m in two.kept] and len(one.kept) == 2
+    assert one.models[C.PROMOTER].getNumTrees == int(np.median([m.best_round for m in one.kept]))
+    n = inside.count()
+    got = one.rows.groupBy("split", F.col("fold").isNull().alias("none")).count().collect()
+    assert {(r["split"], r["none"]) for r in got} == {("train", False), ("test", True)} and sum(r["count"] for r in got) == n
+    assert one.rows.select(C.ID).distinct().count() == n
+
+
+def test_the_registered_window_run_reports_held_out_rows(spark):
+    catalog.load()
+    got = runner("train_window")(spark, "/root/testdata/sf0.001").collect()
+    assert {r["split"] for r in got} == {"train", "test", "held out"} and {r["label"] for r in got} == set(C.LABELS)
+    assert all(1 <= r["rounds"] <= 30 for r in got)
