@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators import boosting, clean, daily, imputers, linear_cv, metrics as M, models, search, split as SP, stats
+from satlens.operators import boosting, daily, imputers, linear_cv, metrics as M, models, search, split as SP, stats
 from satlens.operators import trees as TR
 from satlens.operators.contributions import linear_contributions
 from satlens.operators.treeshap import explain_many
