@@ -1,11 +1,13 @@
 """What the shared steps move: rows shuffled once, small tables broadcast, and the same results."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from satlens import config as C
+from satlens.operators import metrics as M, split as SP
 from satlens.operators.windows import dedup_first
 from satlens.plans import etl, registry
 from satlens.session import RUNTIME_FILTERS, runtime_filters
@@ -75,3 +77,27 @@ def test_runtime_filters_are_of_the_step_only(spark):
         assert spark.conf.get(name) == RUNTIME_FILTERS[name]
         1 / 0
     assert {k: spark.conf.get(k, None) for k in RUNTIME_FILTERS} == before
+
+
+def test_ranks_shuffle_rows_once_without_their_hash(spark, physical):
+    d = spark.range(500).select(F.col("id").alias(C.ID), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.lit("x").alias("payload"))
+    t = SP.stratified_rank(d, ["g"], seed=4)
+    moved = [line for line in physical(t).splitlines() if "Exchange hashpartitioning(__at" in line and "REPARTITION_BY_COL" in line]
+    assert len(moved) == 1 and physical(t).count("Exchange hashpartitioning") <= 5
+    ranks = {}
+    for r in sorted(t.collect(), key=lambda r: (str(r.g), r.__getitem__("__h"), r[C.ID])):
+        ranks.setdefault(r.g, []).append((r["__rank"], r["__n"]))
+    assert all(v == [(i, len(v)) for i in range(1, len(v) + 1)] for v in ranks.values()) and len(ranks) == 3
+
+
+def test_metrics_count_scores_once(spark, physical):
+    nan = float("nan")
+    rows = [("a", 1, 0.9), ("a", 0, 0.9), ("a", 1, 0.2), ("a", None, 0.7), ("a", 0, None), ("a", 1, nan), ("b", None, 0.4), (None, 1, 0.6), (None, 0, 0.1)]
+    d = spark.createDataFrame(rows, "g string, y int, s double")
+    got = {r.g: (r.tp, r.fp, r.fn, r.tn, r.auc) for r in M.binary_metrics(d, "y", "s", ["g"]).collect()}
+    assert got == {"a": (2, 1, 1, 0, 0.25), "b": (0, 0, 0, 0, None), None: (1, 0, 0, 1, 1.0)}  # NaN is above all numbers; it has no rank
+    whole = M.binary_metrics(d, "y", "s").first()
+    assert (whole.tp, whole.fp, whole.fn, whole.tn) == (3, 1, 1, 1) and math.isclose(whole.auc, 2.5 / 6 + 1 / 6)
+    assert M.binary_metrics(d.where("false"), "y", "s").first()[:4] == (0, 0, 0, 0)
+    text = physical(M.binary_metrics(d, "y", "s", ["g"]))
+    assert "partial_count_if((y" in text and "partial_count_if(((" not in text  # nothing but (group, score) is counted over the rows
