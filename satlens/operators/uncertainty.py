@@ -31,10 +31,11 @@ def hash_order(key: str, seed, salt: Column | None = None) -> Column:
 
 
 def hash_top_n(df: DataFrame, group: Sequence[str], key: str, seed, n: int, salt: Column | None = None,
-               hex_digits: int = 5, rank_col: str = "rn") -> DataFrame:
+               hex_digits: int = 3, rank_col: str = "rn") -> DataFrame:
     """The n rows with the smallest seeded hash per group, ranked 1..n (exact).
 
-    Rows are counted per (group, hash-prefix bucket); running counts over the
+    Rows are counted per (group, hash-prefix bucket), 16^3 a group, so that a
+    task counts few groups whatever its rows; running counts over the
     buckets (a small table) show which buckets can hold ranks <= n, and only
     rows of those buckets reach the final ranking window.  The work therefore
     does not depend on the optimizer's partial top-k threshold, and no group
@@ -45,9 +46,10 @@ def hash_top_n(df: DataFrame, group: Sequence[str], key: str, seed, n: int, salt
     t = df.withColumns({"__h": h, "__b": F.conv(F.substring(h, 1, hex_digits), 16, 10).cast("long")})
     counts = t.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    keep = (counts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-            .filter(F.col("__off") < n).select(*group, "__b"))
-    cand = left_join_null_safe(t, keep, [*group, "__b"], "left_semi")
+    last = (counts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0))).filter(F.col("__off") < n)
+            .groupBy(*group).agg(F.max("__b").alias("__last")))
+    # a row a group: with it in every task, rows of later buckets go before anything is shuffled
+    cand = left_join_null_safe(t, F.broadcast(last), group, "inner").filter(F.col("__b") <= F.col("__last")).drop("__last")
     rw = Window.partitionBy(*group).orderBy("__h", key)
     return cand.withColumn(rank_col, F.row_number().over(rw)).filter(F.col(rank_col) <= n).drop("__b")
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators import metrics as M, split as SP
+from satlens.operators import metrics as M, split as SP, uncertainty as U
 from satlens.operators.windows import dedup_first
 from satlens.plans import etl, registry
 from satlens.session import RUNTIME_FILTERS, runtime_filters
@@ -101,3 +101,12 @@ def test_metrics_count_scores_once(spark, physical):
     assert M.binary_metrics(d.where("false"), "y", "s").first()[:4] == (0, 0, 0, 0)
     text = physical(M.binary_metrics(d, "y", "s", ["g"]))
     assert "partial_count_if((y" in text and "partial_count_if(((" not in text  # nothing but (group, score) is counted over the rows
+
+
+def test_samples_drop_rows_before_a_shuffle(spark, physical):
+    d = spark.range(20_000).select(F.col("id").alias(C.ID), F.rand(1).alias(U.PRED), F.rand(2).alias(U.UNC))
+    top = U.hash_top_n(d.withColumn("g", F.col(C.ID) % 2), ["g"], C.ID, 3, 7)
+    assert "BroadcastHashJoin" in physical(top) and "SortMergeJoin" not in physical(top)
+    every = d.withColumns({"g": F.col(C.ID) % 2, "h": U.hash_order(C.ID, 3)}).collect()
+    want = {(g, i, r[C.ID]) for g in (0, 1) for i, r in enumerate(sorted((r for r in every if r.g == g), key=lambda r: (r.h, r[C.ID]))[:7], 1)}
+    assert {(r.g, r.rn, r[C.ID]) for r in top.collect()} == want
