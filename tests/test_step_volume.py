@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from satlens import config as C
-from satlens.operators import metrics as M, split as SP, uncertainty as U
+from satlens.operators import metrics as M, models, split as SP, uncertainty as U
 from satlens.operators.windows import dedup_first
-from satlens.plans import etl, registry
+from satlens.plans import etl, q_ml, registry
 from satlens.session import RUNTIME_FILTERS, runtime_filters
 from satlens.sources import testdata as td
 
@@ -17,6 +17,10 @@ LINE = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_qu
         "l_discount double, l_tax double, l_returnflag string")
 
 
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.fixture
 def physical(spark):
     """The physical plan without adaptive changes and without joins by size."""
@@ -110,3 +114,17 @@ def test_samples_drop_rows_before_a_shuffle(spark, physical):
     every = d.withColumns({"g": F.col(C.ID) % 2, "h": U.hash_order(C.ID, 3)}).collect()
     want = {(g, i, r[C.ID]) for g in (0, 1) for i, r in enumerate(sorted((r for r in every if r.g == g), key=lambda r: (r.h, r[C.ID]))[:7], 1)}
     assert {(r.g, r.rn, r[C.ID]) for r in top.collect()} == want
+
+
+def test_gate_splits_once(spark, tmp_path, monkeypatch):
+    tables(spark, tmp_path, [1, 2])
+    seen = []
+
+    def fit(rows, **_):
+        seen.append(rows)
+        raise InterruptedError
+
+    monkeypatch.setattr(models, "train_pair", fit)
+    with pytest.raises(InterruptedError):
+        q_ml.q_champion_gate(registry.Inputs(spark, str(tmp_path)))
+    assert "Window" not in plan(seen[0]) and {"split", *C.FEATURES, *C.LABELS} == set(seen[0].columns)
