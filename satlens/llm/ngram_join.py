@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satlens.llm.common import broadcast_if_small, materialize, parts
+from satlens.llm.common import broadcast_if_small, materialize, parts, slices
 from satlens.llm.components import connected
 from satlens.llm.shingles import Shingler, signature
 
@@ -56,12 +56,10 @@ def least_overlap(n: Column, percent: int) -> Column:
 def members(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, s1, s2, n) of every row."""
     def run(batches):
-        for b in batches:
-            sets = list(shingler(width).sets(b.column(1).to_pylist()))
-            sigs = [signature(s) for s in sets]
+        for b in slices(batches):
+            of = [(*signature(s), len(s)) for s in shingler(width).sets(b.column(1).to_pylist())]  # no set is kept
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([s[0] for s in sigs], pa.int64()), pa.array([s[1] for s in sigs], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64())], names=["doc_id", "s1", "s2", "n"])
+                [b.column(0), *(pa.array([x[i] for x in of], pa.int64()) for i in range(3))], names=["doc_id", "s1", "s2", "n"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(
         run, "doc_id bigint, s1 bigint, s2 bigint, n bigint")
 
@@ -102,7 +100,7 @@ def likely(docs: DataFrame, width: int, percent: int, text_col: str) -> DataFram
 
     def post(batches):
         classes, held = {}, 0
-        for b in batches:
+        for b in slices(batches):
             for s in shingler(width).sets(b.column(0).to_pylist()):
                 if len(s):
                     key = signature(s)[0] or 1
@@ -142,7 +140,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, width: int, id_col: str, tex
         .join(one, F.col("_doc") == F.col("_id")).select("cls", "s1", "s2", "_text")
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             cls, s1, s2 = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             held = ([], [], [])
             for i, s in enumerate(shingler(width).sets(b.column(3).to_pylist())):

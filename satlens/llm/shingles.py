@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 
-#: Bytes handled at once, and the longest word hashed by numpy.
-CHUNK_BYTES = 1 << 21
+#: Bytes handled at once (arrays of 8 bytes for each of them are held), and the longest word hashed by numpy.
+CHUNK_BYTES = 1 << 18
 LONG_WORD = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _M1, _M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)

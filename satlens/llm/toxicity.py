@@ -38,6 +38,8 @@ from satlens.llm.common import materialize
 #: Seed words of the finer categories: words for a person, words that degrade.
 INSULTS = ("idiot", "moron", "loser", "clown", "scum", "trash")
 DEGRADING = ("worthless", "pathetic", "disgusting", "stupid")
+#: Texts judged at once: two numbers are held for each of their words.
+PIECE = 1024
 
 
 @dataclass(frozen=True)
@@ -103,7 +105,8 @@ class ToxicityChain:
 
         @F.arrow_udf(", ".join(f"`{n}` double" for n in names) + ", toxic boolean")
         def judged(slots: pa.Array) -> pa.Array:
-            p = chained(links, slots)
+            pieces = [chained(links, slots.slice(at, PIECE)) for at in range(0, max(len(slots), 1), PIECE)]
+            p = [np.concatenate(c) for c in zip(*pieces)]
             return pa.StructArray.from_arrays([*map(pa.array, p), pa.array(p[-1] >= threshold)], names=[*names, "toxic"])
 
         return judged(word_slots(text_words(text), self.settings.slots))
