@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from satlens.llm.common import broadcast_if_small, materialize, parts, slices
+from satlens.llm.common import WIDE_ROWS, broadcast_if_small, materialize, parts, slices
 from satlens.llm.components import connected
 from satlens.llm.shingles import Shingler, signature
 
@@ -209,7 +209,7 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     hubs = materialize(hubs, "hubs")
     met = materialize(posts.alias("p").join(hubs.alias("o"), (F.col("p.gram") == F.col("o.g")) & (F.col("p.cls") != F.col("o.cls"))
                                             & may_match("p", "o", percent)).select(*pair).distinct(), "hub-pairs")
-    first = materialize(verified(met, sets, percent), "hub-links")
+    first = materialize(verified(met, sets, percent), "hub-links", WIDE_ROWS)
     # round 2: classes of a list that are in another component than its hub meet all of another component
     label = materialize(connected(first), "labels")
     named = (posts.join(label, F.col("cls") == F.col("node"), "left").withColumn("label", F.coalesce("root", "cls"))
@@ -222,18 +222,18 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
         (~F.col("o.off") | (F.col("p.cls") < F.col("o.cls"))) & may_match("p", "o", percent)
     rest = named.where("off").alias("p").join(named.alias("o"), apart).select(*pair).distinct()
     rest = materialize(rest.join(met, ["a", "b"], "left_anti"), "other-pairs")
-    return first.unionByName(verified(rest, sets, percent))
+    return first.unionByName(materialize(verified(rest, sets, percent), "other-links", WIDE_ROWS))
 
 
 def join_components(docs: DataFrame, *, width: int = 4, percent: int = 85, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id: the smallest id reachable by links."""
-    rows = materialize(members(docs, width, id_col, text_col), "members")
+    rows = materialize(members(docs, width, id_col, text_col), "members", WIDE_ROWS)
     groups = rows.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     near = likely(docs, width, percent, text_col).withColumnRenamed("s1", "likely")
     classes = materialize(groups.where("doc_id is not null").join(near, F.coalesce(F.nullif("s1", F.lit(0)), F.lit(1)) == F.col("likely"))
-                          .drop("likely").withColumn("cls", F.monotonically_increasing_id()), "classes")
-    sets = materialize(class_sets(docs, classes, width, id_col, text_col), "sets")
+                          .drop("likely").withColumn("cls", F.monotonically_increasing_id()), "classes", WIDE_ROWS)
+    sets = materialize(class_sets(docs, classes, width, id_col, text_col), "sets", WIDE_ROWS)
     root = connected(links(sets, percent))
     named = classes.join(root, F.col("cls") == F.col("node"))
     least = named.groupBy(F.col("root").alias("r")).agg(F.min("doc_id").alias("component"))

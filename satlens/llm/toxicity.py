@@ -141,6 +141,7 @@ def fit_links(train: DataFrame, label: str, k: int, settings: Settings) -> list[
             p.flatten().to_numpy(zero_copy_only=False).reshape(len(slots), k), table.column("y").to_numpy())
         w = sparse_logistic.fit(sample, settings.slots, settings.penalty, settings.iterations, settings.tolerance)
         used = np.flatnonzero(w)
+        pa.default_memory_pool().release_unused()  # the worker stays for later stages
         return pa.table({"model": pa.array([key[0].as_py()] * len(used), pa.int32()), "slot": pa.array(used.astype(np.int32)), "w": w[used]})
 
     weights = np.zeros((settings.folds + 1, settings.slots + k + 1))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from satlens.llm import toxicity
-from satlens.llm.common import slices
+from satlens.llm.common import BATCH_ROWS, WIDE_ROWS, materialize, slices
 from satlens.llm.shingles import Shingler
 
 
@@ -36,3 +36,14 @@ def test_verdicts_of_a_batch_in_pieces(spark):
     got = d.select("id", chain.verdict(F.col("text")).alias("v"), toxicity.word_slots(toxicity.text_words(F.col("text")), 64).alias("at")).collect()
     want = toxicity.chained(links, pa.array([r["at"] for r in got], pa.list_(pa.int32())))
     assert len(got) == rows and np.allclose([r.v.p_a for r in got], want[0]) and np.allclose([r.v.p_b for r in got], want[1])
+
+
+def test_wide_rows_reach_workers_in_short_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    before = spark.conf.get(BATCH_ROWS)
+    d = spark.range(1300, numPartitions=1).mapInArrow(sizes, "n bigint")
+    assert sorted(r.n for r in materialize(d, "sizes", WIDE_ROWS).collect()) == [276, 512, 512]
+    assert [r.n for r in materialize(d, "sizes").collect()] == [1300] and spark.conf.get(BATCH_ROWS) == before
