@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from satlens.llm.common import parts, shared_path
+from satlens.llm.common import parts, shared_path, slices
 from satlens.llm.files import committed
 from satlens.llm.pretokens import encoder
 
@@ -192,7 +192,7 @@ def tokenized(docs: DataFrame, tokenizer: str, bounds: list, end_id: int, id_col
     def run(batches):
         enc = encoder(tokenizer)
         kind = "<u2" if enc.library.get_vocab_size() <= 1 << 16 else "<u4"
-        for b in batches:
+        for b in slices(batches):
             keys = b.column(0).cast(pa.int64())
             part = np.searchsorted(bounds, keys.fill_null(0).to_numpy(zero_copy_only=False), "right")
             part[np.asarray(keys.is_null())] = 0

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -26,7 +27,7 @@ TABLE_SIZE = 0x3000
 PLAIN_BLOCKS = ((0x0000, 0x0300), (0x0370, 0x0483), (0x048A, 0x0530), (0x2010, 0x2070), (0x20A0, 0x20C0))
 #: Characters handled at once, entries kept in the memo, longest piece hashed by numpy.
 CHUNK_CHARS = 1 << 19
-MEMO_ENTRIES = 1_500_000
+MEMO_ENTRIES = 500_000
 LONG_PIECE = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -39,6 +40,25 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """``values`` with room for ``size`` of them, at least doubled if there is none."""
+    if size <= len(values):
+        return values
+    out = np.zeros(max(size, 2 * len(values)), values.dtype)
+    out[:len(values)] = values
+    return out
+
+
+def spelled(chars: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[str]:
+    """The strings chars[begin[i]:end[i]], which hold no character 0."""
+    size = end - begin + 1
+    stop = np.cumsum(size)
+    at = np.arange(stop[-1]) + np.repeat(begin - (stop - size), size)
+    taken = chars[np.minimum(at, len(chars) - 1)]
+    taken[stop - 1] = 0
+    return taken[:-1].tobytes().decode("utf-32-le").split("\0")
+
+
 class PieceEncoder:
     """Ids (or any per-piece arrays) of whole texts, equal to ``Tokenizer.encode(..., add_special_tokens=False)``.
 
@@ -55,9 +75,10 @@ class PieceEncoder:
         kind = (spec.get("pre_tokenizer") or {}).get("type")
         self.spaced = kind == "ByteLevel"  # pieces keep the blank before them
         self.known = kind in ("ByteLevel", "Sequence")
-        self.bare = Tokenizer(self.library.model)  # merges only: no cutting, no normalising
+        self.merges = self.library.model  # no cutting, no normalising
         alphabet = byte_alphabet()
         self._to_alphabet = {b: c for b, c in alphabet.items()}
+        self._shown = np.array([ord(alphabet[b]) if b else 0 for b in range(256)], np.uint32)  # 0 stands between pieces
         self.encode_pieces = encode_pieces or self.library_pieces
         self.encode_text = encode_text or (lambda t: self.library.encode(t, add_special_tokens=False).ids)
         self._tables()
@@ -101,40 +122,75 @@ class PieceEncoder:
 
     # -- memo -----------------------------------------------------------------
     def _forget(self) -> None:
-        self._keys = np.empty(0, np.uint64)
-        self._slot = np.empty(0, np.int64)
-        self._start = np.zeros(1, np.int64)  # of slot i and one past the last
-        self._flat = np.empty(0, np.uint32)
+        self._table = np.zeros(1 << 16, np.uint64)  # keys by open addressing; 0 is an empty place
+        self._slot = np.zeros(1 << 16, np.int32)
+        self._entries = 0
+        self._start = np.zeros(1 << 16, np.int64)  # of slot i and one past the last
+        self._flat = np.empty(1 << 16, np.uint32)
 
     def library_pieces(self, pieces: list[str]) -> list[list[int]]:
-        table = str.maketrans({chr(b): c for b, c in self._to_alphabet.items()})
-        shown = [p.encode().decode("latin-1").translate(table) for p in pieces]
-        return [e.ids for e in self.bare.encode_batch_fast(shown, add_special_tokens=False)]
+        codes = self._shown[np.frombuffer("\0".join(pieces).encode(), np.uint8)]
+        shown = codes.tobytes().decode("utf-32-le").split("\0")
+        if len(shown) != len(pieces):  # a piece holds the character 0
+            table = str.maketrans({chr(b): c for b, c in self._to_alphabet.items()})
+            shown = [p.encode().decode("latin-1").translate(table) for p in pieces]
+        merged = self.merges.tokenize
+        return [[t.id for t in merged(p)] for p in shown]
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Memo slot of each key, -1 if it has none."""
+        out = np.full(len(keys), -1, np.int32)
+        mask = len(self._table) - 1
+        left, at = np.arange(len(keys)), (keys & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            seen = self._table[at]
+            hit = seen == keys[left]
+            out[left[hit]] = self._slot[at[hit]]
+            go = ~hit & (seen != 0)
+            left, at = left[go], (at[go] + 1) & mask
+        return out
+
+    def _place(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        """Puts distinct new keys into the table."""
+        mask = len(self._table) - 1
+        left, at = np.arange(len(keys)), (keys & np.uint64(mask)).astype(np.int64)
+        while len(left):
+            free = self._table[at] == 0
+            self._table[at[free]] = keys[left[free]]  # of several for one place, the last one gets it
+            here = self._table[at] == keys[left]
+            self._slot[at[here]] = slots[left[here]]
+            left, at = left[~here], (at[~here] + 1) & mask
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         got = self.encode_pieces(pieces)
         sizes = np.fromiter(map(len, got), np.int64, len(got))
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum()))
-        first = len(self._start) - 1
-        self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(sizes)])
-        self._flat = np.concatenate([self._flat, flat])
-        every = np.concatenate([self._keys, keys])
-        order = np.argsort(every, kind="stable")
-        self._keys = every[order]
-        self._slot = np.concatenate([self._slot, first + np.arange(len(keys))])[order]
+        first, used = self._entries, int(self._start[self._entries])
+        self._entries += len(keys)
+        self._start = grown(self._start, self._entries + 1)
+        self._start[first + 1:self._entries + 1] = used + np.cumsum(sizes)
+        stop = int(self._start[self._entries])
+        self._flat = grown(self._flat, stop)
+        self._flat[used:stop] = np.fromiter(chain.from_iterable(got), np.uint32, stop - used)
+        if 2 * self._entries > len(self._table):
+            full = np.flatnonzero(self._table)
+            old, slots = self._table[full], self._slot[full]
+            size = 1 << (2 * self._entries).bit_length()
+            self._table, self._slot = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+            self._place(old, slots)
+        self._place(keys, np.arange(first, self._entries, dtype=np.int32))
 
     def _slots(self, keys: np.ndarray, spell: Callable[[np.ndarray], list[str]]) -> np.ndarray:
-        """Memo slots of distinct keys; spell(indices) gives the strings of new ones."""
-        if len(self._keys) + len(keys) > MEMO_ENTRIES:
-            self._forget()
-        at = np.searchsorted(self._keys, keys)
-        new = np.ones(len(keys), bool)
-        inside = at < len(self._keys)
-        new[inside] = self._keys[at[inside]] != keys[inside]
-        if new.any():
-            self._learn(keys[new], spell(np.flatnonzero(new)))
-            at = np.searchsorted(self._keys, keys)
-        return self._slot[at]
+        """Memo slots of keys; spell(indices) gives the strings of new ones."""
+        out = self._find(keys)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            distinct, first = np.unique(keys[new], return_index=True)
+            if self._entries and self._entries + len(distinct) > MEMO_ENTRIES:
+                self._forget()
+                return self._slots(keys, spell)
+            self._learn(distinct, spell(new[first]))
+            out[new] = self._find(keys[new])
+        return out
 
     # -- cutting --------------------------------------------------------------
     def _cut(self, chars: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,6 +261,7 @@ class PieceEncoder:
         key ^= key >> np.uint64(29)
         for i in np.flatnonzero(end - begin > LONG_PIECE):
             key[i] = xxhash.xxh3_64_intdigest(chars[begin[i]:end[i]].tobytes())
+        key[key == 0] = 1  # 0 is the memo's empty place
         return key
 
     def _chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -219,9 +276,7 @@ class PieceEncoder:
         begin, end = self._cut(chars, cls)
         if not len(begin):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
-        keys, first, inverse = np.unique(self._keys_of(chars, begin, end), return_index=True, return_inverse=True)
-        spell = lambda some: [chars[begin[i]:end[i]].tobytes().decode("utf-32-le") for i in first[some]]
-        slot = self._slots(keys, spell)[inverse]
+        slot = self._slots(self._keys_of(chars, begin, end), lambda some: spelled(chars, begin[some], end[some]))
         size = self._start[slot + 1] - self._start[slot]
         stop = np.cumsum(size)
         at = np.arange(stop[-1]) + np.repeat(self._start[slot] - (stop - size), size)
