@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from satlens.llm.common import materialize
+from satlens.llm.common import WIDE_ROWS, materialize, slices
 from satlens.llm.pretokens import encoder
 
 #: Rows of one length that a rank window should hold, and at most so many buckets.
@@ -40,7 +40,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer: str, *, end_id: int = 0, capacit
 
     def run(batches):
         enc = encoder(tokenizer)
-        for b in batches:
+        for b in slices(batches):
             keys = b.column(0)
             row, piece, start, length, ids, held = [], [], [], [], [], 0
 
@@ -226,5 +226,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, end_id: int = 0, capacity
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenise, digest and pack ``docs``: (id, piece, start, length, ids_crc32, sequence_id, offset)."""
     pieces = tokenize_pieces(docs, tokenizer, end_id=end_id, capacity=capacity, id_col=id_col, text_col=text_col)
-    pieces = materialize(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    pieces = materialize(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces", WIDE_ROWS)
     return pack(pieces, capacity=capacity, id_col=id_col)

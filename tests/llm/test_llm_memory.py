@@ -3,10 +3,11 @@
 import tracemalloc
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from satlens.llm import toxicity
+from satlens.llm import huffman_ids, packing, pretokens, toxicity
 from satlens.llm.common import BATCH_ROWS, WIDE_ROWS, materialize, slices
 from satlens.llm.shingles import Shingler
 
@@ -47,3 +48,55 @@ def test_wide_rows_reach_workers_in_short_batches(spark):
     d = spark.range(1300, numPartitions=1).mapInArrow(sizes, "n bigint")
     assert sorted(r.n for r in materialize(d, "sizes", WIDE_ROWS).collect()) == [276, 512, 512]
     assert [r.n for r in materialize(d, "sizes").collect()] == [1300] and spark.conf.get(BATCH_ROWS) == before
+
+
+class Rows:
+    """Stands for a table: hands over the function that workers would run."""
+
+    def __init__(self, df):
+        self.schema = df.schema
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_tokenising_workers_hold_a_short_piece_of_a_batch(spark):
+    d = Rows(spark.createDataFrame([], "doc_id bigint, text string"))
+    batch = pa.record_batch({"doc_id": pa.array(range(1300), pa.int64()), "text": [f"text number {i}" for i in range(1299)] + [None]})
+    for run, rows in ((packing.tokenize_pieces(d, public_tokenizers.path("word_bpe_49k.json")), "doc_id"),
+                      (huffman_ids.tokenized(d, public_tokenizers.path("byte_bpe_50k.json"), [], 2, "doc_id", "text"), "doc")):
+        got = list(run(iter([batch])))
+        assert [b.num_rows for b in got] == [512, 512, 276]  # 1300 in one before
+        assert sum((b.column(rows).to_pylist() for b in got), []) == [*range(1300)]
+
+
+def test_learning_a_few_pieces_does_not_copy_the_memo():
+    enc = pretokens.PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    library, enc.encode_pieces = enc.encode_pieces, lambda pieces: [[len(p)] for p in pieces]
+    for a in range(0, 280_000, 20_000):
+        assert sum(int(x.sum()) for x in enc.encode([" ".join(f"x{i}q" for i in range(a, a + 20_000))])) > 20_000
+    enc.encode_pieces = library
+    text = "a few words that nobody met"
+    tracemalloc.start()
+    got = next(enc.encode([text])).tolist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == enc.library.encode(text, add_special_tokens=False).ids and peak < 1e6  # over 10 MB with a sorted memo
+
+
+def test_a_full_memo_is_forgotten(monkeypatch):
+    enc = pretokens.PieceEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(pretokens, "MEMO_ENTRIES", 60)
+    monkeypatch.setattr(pretokens, "CHUNK_CHARS", 200)
+    texts = [" ".join(f"word{(i * j) % 83} é{j}" for j in range(25)) for i in range(40)]
+    assert [x.tolist() for x in enc.encode(texts)] == [e.ids for e in enc.library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_equal_places_of_a_table_are_told_apart():
+    enc = pretokens.PieceEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    keys = np.arange(1, 3001, dtype=np.uint64) << np.uint64(40)  # all begin at one place
+    enc._learn(keys, [f"w{i}" for i in range(len(keys))])
+    assert enc._find(keys).tolist() == [*range(3000)] and enc._find(np.array([5, 1 << 39], np.uint64)).tolist() == [-1, -1]
