@@ -6,10 +6,14 @@ the orthant-wise quasi-Newton method (Andrew and Gao, 2007).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
+#: Places of rows that are handled at once: numpy holds 8 bytes and more for each.
+PIECE = 1 << 18
+
 
 @dataclass
 class Sample:
@@ -26,12 +30,33 @@ class Sample:
         The slope of the loss at a slot is at most its share of the rows, so a slot
         in fewer than penalty * rows has weight 0 in the solution: leaving it out is exact.
         """
-        count = np.bincount(self.at, minlength=slots)
+        count = counted(self.at, slots)
         used = np.flatnonzero((count > 0) & (count >= penalty * len(self.y)))
-        place = np.full(slots, -1)
+        place = np.full(slots, -1, np.int32)
         place[used] = np.arange(len(used))
-        at, row = place[self.at], np.repeat(np.arange(len(self.y)), self.sizes)
-        return used, at[at >= 0], row[at >= 0]
+        at, row = (np.empty(count[used].sum(), np.int32) for _ in range(2))
+        end, stop = np.cumsum(self.sizes), 0
+        for a, b in pieces(end):
+            slot, of = place[self.at[end[a] - self.sizes[a]:end[b - 1]]], np.repeat(np.arange(a, b, dtype=np.int32), self.sizes[a:b])
+            start, stop = stop, stop + np.count_nonzero(slot >= 0)
+            at[start:stop], row[start:stop] = slot[slot >= 0], of[slot >= 0]
+        return used, at, row
+
+
+def pieces(end: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about PIECE places each; ``end`` counts the places up to each row."""
+    a = 0
+    while a < len(end):
+        b = max(a + 1, int(np.searchsorted(end, (end[a - 1] if a else 0) + PIECE, "right")))
+        yield a, b
+        a = b
+
+
+def counted(at: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    for i in range(0, len(at), PIECE):
+        out += np.bincount(at[i:i + PIECE], minlength=size)
+    return out
 
 
 def fit(sample: Sample, slots: int, penalty: float, most: int, tolerance: float) -> np.ndarray:
@@ -43,12 +68,20 @@ def fit(sample: Sample, slots: int, penalty: float, most: int, tolerance: float)
         return out
     used, at, row = sample.reduced(slots, penalty)
     k, n, y, dense = len(used), len(sample.y), sample.y, sample.dense
+    cuts = list(pieces(np.cumsum(np.bincount(row, minlength=n))))
+    ends = np.searchsorted(row, [b for _, b in cuts])
+    starts = [0, *ends[:-1]]
 
     def value(w: np.ndarray) -> tuple[float, np.ndarray]:
-        margin = np.bincount(row, w[at], minlength=n) + dense @ w[k:-1] + w[-1]
+        margin, slope = np.empty(n), np.zeros(k)
+        for (a, b), i, j in zip(cuts, starts, ends):
+            margin[a:b] = np.bincount(row[i:j] - a, w[at[i:j]], minlength=b - a)
+        margin = margin + dense @ w[k:-1] + w[-1]
         loss = np.logaddexp(0, np.where(y > 0, -margin, margin)).mean()
         rest = (1 / (1 + np.exp(-np.clip(margin, -700, 700))) - y) / n
-        return loss, np.concatenate([np.bincount(at, rest[row], minlength=k), rest @ dense, [rest.sum()]])
+        for i, j in zip(starts, ends):
+            np.add.at(slope, at[i:j], rest[row[i:j]])
+        return loss, np.concatenate([slope, rest @ dense, [rest.sum()]])
 
     start = np.zeros(k + dense.shape[1] + 1)
     start[-1] = np.log(mean / (1 - mean))

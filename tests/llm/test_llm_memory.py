@@ -7,7 +7,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from satlens.llm import huffman_ids, packing, pretokens, toxicity
+from satlens.llm import huffman_ids, packing, pretokens, sparse_logistic, toxicity
 from satlens.llm.common import BATCH_ROWS, WIDE_ROWS, materialize, slices
 from satlens.llm.shingles import Shingler
 
@@ -100,3 +100,26 @@ def test_equal_places_of_a_table_are_told_apart():
     keys = np.arange(1, 3001, dtype=np.uint64) << np.uint64(40)  # all begin at one place
     enc._learn(keys, [f"w{i}" for i in range(len(keys))])
     assert enc._find(keys).tolist() == [*range(3000)] and enc._find(np.array([5, 1 << 39], np.uint64)).tolist() == [-1, -1]
+
+
+def test_a_fit_holds_eight_bytes_a_place(monkeypatch):
+    rng = np.random.default_rng(2)
+    n, sizes = 6000, np.full(6000, 200)
+    at = np.sort(rng.integers(0, 900, (n, 200)).astype(np.int32), axis=1)
+    sample = sparse_logistic.Sample(at.ravel(), sizes, rng.random((n, 1)), (at[:, 0] % 3 == 0).astype(float))
+    tracemalloc.start()
+    some = sparse_logistic.fit(sample, 1024, 1e-3, 3, 1e-6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6  # 1.2 million places; 39.6 MB before
+    monkeypatch.setattr(sparse_logistic, "PIECE", 1000)
+    assert np.array_equal(some, sparse_logistic.fit(sample, 1024, 1e-3, 3, 1e-6)) and np.count_nonzero(some) > 1
+
+
+def test_pieces_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(sparse_logistic, "PIECE", 5)
+    sizes = np.array([0, 3, 9, 0, 1, 1, 1, 2, 0])
+    got = list(sparse_logistic.pieces(np.cumsum(sizes)))
+    assert [i for a, b in got for i in range(a, b)] == [*range(9)] and max(sizes[a:b].sum() for a, b in got if b - a > 1) <= 5
+    used, at, row = sparse_logistic.Sample(np.arange(17, dtype=np.int32) % 4, sizes, np.zeros((9, 0)), np.zeros(9)).reduced(6, 0.0)
+    assert used.tolist() == [0, 1, 2, 3] and at.tolist() == [*np.arange(17) % 4] and row.tolist() == np.repeat(np.arange(9), sizes).tolist()
