@@ -267,10 +267,11 @@ def q_join_lf_4key(x: Inputs):
     """Load factor by the most specific of 5, 4 and 3 keys: haul drifts between the sources, carrier codes are renamed."""
     three = ["flight_month", C.FLIGHT, C.CABIN]
     s = x.survey.select(S.month_start(C.DATE).alias("flight_month"), C.FLIGHT, C.CABIN, C.HAUL, C.CARRIER)
+    s = nps.group_count(s, [*three, C.HAUL, C.CARRIER])
     j = joins.fallback_join(s, td.load_factor_by_carrier(x.spark, x.sf_dir),
                             [[*three, C.HAUL, C.CARRIER], [*three, C.CARRIER], three], ["pax", "capacity"])
-    return j.groupBy(C.HAUL, "match_level").agg(F.count(F.lit(1)).alias("n_rows"),
-                                                r6(F.sum(S.safe_ratio("pax", "capacity"))).alias("lf_sum"))
+    return j.groupBy(C.HAUL, "match_level").agg(F.sum("n").alias("n_rows"),
+                                                r6(F.sum(F.col("n") * S.safe_ratio("pax", "capacity"))).alias("lf_sum"))
 
 
 @register("join_dictionary", BASE + """
